@@ -6,17 +6,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import simhash
+from . import decontaminate, simhash
 from .common import table
 
 
+def op1_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+#: Windows that fit in no document are no rows of ``hits``; translate() lower-cases A-Z alone.
+OP1_SQL = r"""
+WITH low AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS a, 'abcdefghijklmnopqrstuvwxyz' AS b),
+d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), a, b), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents, low),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), a, b), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark, low),
+iw AS (SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[k : k + least(10, len(w)) - 1], ' ') AS t
+       FROM i, LATERAL (SELECT unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS k) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT r, k, n, array_to_string(w[k : k + n - 1], ' ') AS t FROM d, sizes, LATERAL (SELECT unnest(generate_series(1, len(w) - n + 1)) AS k)),
+hits AS (SELECT r, k, n, item FROM dw JOIN iw USING (n, t)),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, k, n FROM hits), LATERAL (SELECT unnest(generate_series(k, k + n - 1)) AS p) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+"""
+
+
 def op8_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array_decontamination": op1_suffix_array_decontamination,
     "op8_simhash_near_dup": op8_simhash_near_dup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_suffix_array_decontamination": OP1_SQL}
