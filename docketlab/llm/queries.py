@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, packing, quality_rules, simhash
 from .common import table
 
 
@@ -39,9 +39,26 @@ def op8_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.assess(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_decontamination": op1_suffix_array_decontamination,
+    "op5_quality_rules": op5_quality_rules,
     "op8_simhash_near_dup": op8_simhash_near_dup,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {"op1_suffix_array_decontamination": OP1_SQL}
