@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, packing, quality_rules, simhash
+from . import decontaminate, line_dedup, packing, quality_rules, simhash
 from .common import table
 
 
@@ -34,6 +34,14 @@ FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("before"))
+    found = line_dedup.dedup_lines(docs)
+    lines = F.coalesce(F.col("__ld_lines"), F.expr("cast(array() as array<struct<nr:int,class:bigint,kept:boolean>>)"))
+    n = F.size(F.split(F.coalesce("before", F.lit("")), "\n", -1))
+    return found.select("doc_id", n.alias("n_lines"), F.size(F.filter(lines, lambda x: ~x["kept"])).alias("n_dropped"), lines.alias("lines"), "text")
+
+
 def op8_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -57,6 +65,7 @@ def tokenizer_path() -> str:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_decontamination": op1_suffix_array_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op7_line_dedup": op7_line_dedup,
     "op8_simhash_near_dup": op8_simhash_near_dup,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
