@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, line_dedup, packing, quality_rules, simhash
+from . import decontaminate, line_dedup, packing, quality_model, quality_rules, simhash, toxicity
 from .common import table
+from .labelled import fold
 
 
 def op1_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +35,11 @@ FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
 
+def op6_quality_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_model.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", (fold(quality_model.HELD_OUT_OF) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("before"))
     found = line_dedup.dedup_lines(docs)
@@ -56,6 +62,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_toxicity_nearest_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", (fold(toxicity.HELD_OUT_OF) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -65,9 +76,11 @@ def tokenizer_path() -> str:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_decontamination": op1_suffix_array_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op6_quality_rule_ensemble": op6_quality_rule_ensemble,
     "op7_line_dedup": op7_line_dedup,
     "op8_simhash_near_dup": op8_simhash_near_dup,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_toxicity_nearest_examples": op10_toxicity_nearest_examples,
 }
 
 ORACLES: dict[str, str] = {"op1_suffix_array_decontamination": OP1_SQL}
