@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, line_dedup, packing, quality_model, quality_rules, simhash, toxicity
+from . import decontaminate, line_dedup, packing, quality_model, quality_rules, sharding, simhash, toxicity
 from .common import table
 from .labelled import fold
 
@@ -53,6 +53,11 @@ def op8_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.assign(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.assess(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
@@ -75,6 +80,7 @@ def tokenizer_path() -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_decontamination": op1_suffix_array_decontamination,
+    "op4_vector_bin_packing": op4_vector_bin_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_quality_rule_ensemble": op6_quality_rule_ensemble,
     "op7_line_dedup": op7_line_dedup,
