@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, line_dedup, packing, quality_model, quality_rules, sharding, simhash, toxicity
+from . import chat, decontaminate, html_extract, line_dedup, packing, quality_model, quality_rules, sharding, simhash, toxicity
 from .common import table
 from .labelled import fold
 
@@ -53,6 +53,14 @@ def op8_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_chat_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.assign(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -80,6 +88,8 @@ def tokenizer_path() -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_decontamination": op1_suffix_array_decontamination,
+    "op2_chat_role_repair": op2_chat_role_repair,
+    "op3_html_extraction": op3_html_extraction,
     "op4_vector_bin_packing": op4_vector_bin_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_quality_rule_ensemble": op6_quality_rule_ensemble,
