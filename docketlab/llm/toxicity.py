@@ -28,6 +28,8 @@ BLOCK = 64
 #: A term is used if the chance of its ties to the label, times the terms as frequent, is below this.
 CHANCE = 0.05
 MIN_EXAMPLES = 4
+#: And if it is so many times as frequent in toxic examples as in others at least.
+MIN_LIFT = 4.0
 PREFIXES = (4, 5, 7)
 HELD_OUT_OF = 5
 WORD = re.compile(r"\w+")
@@ -51,17 +53,18 @@ def kin(words: list[str]) -> int:
 
 @dataclass
 class Index:
-    """Examples as unit TF-IDF vectors, by term; ``bound[t, b]`` is the largest weight of term t in block b of examples."""
+    """Examples as unit TF-IDF vectors, in blocks of alike ones.
+
+    ``bound[t, b]`` is the largest weight of term t in block b; a block has the terms that occur in it and, for each, its
+    examples' weights.
+    """
 
     vocabulary: dict[str, int]
     idf: np.ndarray
-    start: np.ndarray  # of each term's postings
-    example: np.ndarray
-    weight: np.ndarray
     bound: np.ndarray
+    blocks: list[tuple[np.ndarray, np.ndarray]]
     ids: np.ndarray
     label: np.ndarray
-    blocks: int
 
 
 def vector(words: list[str], vocabulary: dict[str, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,41 +82,39 @@ def vector(words: list[str], vocabulary: dict[str, int], idf: np.ndarray) -> tup
 
 
 def build(vectors: list[tuple[np.ndarray, np.ndarray]], ids, label, vocabulary, idf) -> Index:
-    n, m = len(vectors), len(vocabulary)
-    term = np.concatenate([v[0] for v in vectors]) if n else np.zeros(0, np.int64)
-    weight = np.concatenate([v[1] for v in vectors]) if n else np.zeros(0)
-    example = np.repeat(np.arange(n), [len(v[0]) for v in vectors]) if n else np.zeros(0, np.int64)
-    order = np.lexsort((example, term))
-    term, weight, example = term[order], weight[order], example[order]
-    blocks = -(-n // BLOCK)
-    bound = np.zeros((m, max(1, blocks)))
-    np.maximum.at(bound, (term, example // BLOCK), weight)
-    return Index(vocabulary, idf, np.searchsorted(term, np.arange(m + 1)), example, weight, bound, np.asarray(ids), np.asarray(label), blocks)
+    blocks, bound = [], np.zeros((len(vocabulary), -(-len(vectors) // BLOCK)))
+    for b in range(bound.shape[1]):
+        some = vectors[b * BLOCK : (b + 1) * BLOCK]
+        at = np.unique(np.concatenate([v[0] for v in some]))
+        weights = np.zeros((len(at), len(some)))
+        for k, (t, w) in enumerate(some):
+            weights[np.searchsorted(at, t), k] = w
+        blocks.append((at, weights))
+        bound[at, b] = weights.max(axis=1)
+    return Index(vocabulary, idf, bound, blocks, np.asarray(ids), np.asarray(label))
 
 
 def nearest(index: Index, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-    """The k examples of largest positive cosine (ties: the earlier first), and the cosines; ``skip`` is left out."""
+    """The k examples of largest positive cosine, and the cosines; ``skip`` is left out.
+
+    Blocks are scored in order of their bounds, until the next can better none of the best; which of equally near
+    examples are taken depends on that order alone.
+    """
+    best, cosine = np.zeros(0, np.int64), np.zeros(0)
     if not len(at) or not index.blocks:
-        return np.zeros(0, np.int64), np.zeros(0)
+        return best, cosine
     bounds = w @ index.bound[at]
-    order = np.argsort(-bounds, kind="stable")
-    best, cosine = np.zeros(0, np.int64), np.zeros(0)
-    at_once = 8
-    for lo in range(0, len(order), at_once):
-        some = order[lo : lo + at_once]
-        if bounds[some[0]] <= 0 or len(best) == k and bounds[some[0]] < cosine[-1] - 1e-12:
+    for b in np.argsort(-bounds, kind="stable").tolist():
+        if bounds[b] <= 0 or len(best) == k and bounds[b] <= cosine[-1] + 1e-12:
             break
-        score = np.zeros((len(some), BLOCK))
-        for t, x in zip(at.tolist(), w.tolist()):
-            docs = index.example[index.start[t] : index.start[t + 1]]
-            for row, b in enumerate(some.tolist()):
-                i, j = np.searchsorted(docs, (b * BLOCK, (b + 1) * BLOCK))
-                if j > i:
-                    score[row, docs[i:j] - b * BLOCK] += x * index.weight[index.start[t] + i : index.start[t] + j]
-        row, col = np.nonzero(score > 0)
-        found, value = some[row] * BLOCK + col, score[row, col]
-        best, cosine = np.concatenate([best, found[found != skip]]), np.concatenate([cosine, value[found != skip]])
-        top = np.lexsort((best, -np.round(cosine, 12)))[:k]
+        there, weights = index.blocks[b]
+        where = np.minimum(np.searchsorted(there, at), len(there) - 1)
+        hit = there[where] == at
+        score = w[hit] @ weights[where[hit]]
+        found = np.flatnonzero(score > 0)
+        found = found[found + b * BLOCK != skip]
+        best, cosine = np.concatenate([best, found + b * BLOCK]), np.concatenate([cosine, score[found]])
+        top = np.argsort(-np.round(cosine, 12), kind="stable")[:k]
         best, cosine = best[top], cosine[top]
     return best, cosine
 
@@ -133,7 +134,7 @@ def significant(df: dict[str, tuple[int, int]], n_pos: int, n_neg: int) -> list[
     out = []
     for t, (a, b) in df.items():
         n, lift = a + b, a / (a + b)
-        if lift <= p:
+        if lift <= p or (a + 0.5) * n_neg < MIN_LIFT * (b + 0.5) * n_pos:
             continue
         # Bound on the chance of so many toxic examples among n (Chernoff).
         log_chance = -n * (lift * math.log(lift / p) + ((1 - lift) * math.log((1 - lift) / (1 - p)) if lift < 1 else 0))
@@ -218,7 +219,9 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", allowed=Non
 
     rows = examples.select("doc_id", "label", "body").mapInArrow(project, "doc_id long, label int, term array<int>, weight array<double>")
     empty = {r["label"]: r["count"] for r in rows.where("size(term) = 0").groupBy("label").count().collect()}
-    rows = rows.where("size(term) > 0").orderBy("doc_id", "label", F.col("term").cast("string")).collect()
+    rows = rows.where("size(term) > 0").collect()
+    # Examples whose heaviest terms are the same come together, so that the blocks' bounds are close.
+    rows.sort(key=lambda r: ([t for _, t in sorted(zip(r["weight"], r["term"]), reverse=True)], r["doc_id"], r["label"]))
     index = build([(np.array(r["term"], dtype=np.int64), np.array(r["weight"])) for r in rows], [r["doc_id"] for r in rows], [r["label"] for r in rows], vocabulary, idf)
     # An example stands for so many labelled documents of its class.
     worth = {k: max(1.0, sizes[k] / max(1, n.get(k, 0))) for k in (0, 1)}
