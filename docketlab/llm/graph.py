@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from .common import discard, materialize
 
 
+#: Edges of one task and file of a round.
+EDGES_PER_FILE = 500_000
+
+
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("m"))
@@ -34,8 +38,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if mark == seen or mark[0] == 0:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         seen = mark
-        large = materialize(_large_star(now), "large")
-        after = materialize(_small_star(large), "small")
+        few = 1 + mark[0] // EDGES_PER_FILE  # a round makes no more edges than twice those before it
+        large = materialize(_large_star(now).coalesce(few), "large")
+        after = materialize(_small_star(large).coalesce(few), "small")
         discard(large)
         discard(now)
         now = after
