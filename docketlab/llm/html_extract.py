@@ -16,6 +16,8 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .labelled import by_hash
+
 #: Labelled pages that the weights are learnt from at most.
 LABELLED_PAGES = 2_000
 
@@ -200,7 +202,7 @@ def extract_text(page: str, weights: Weights) -> str:
 def fit(pages: DataFrame, html_col: str = "html", limit: int = LABELLED_PAGES) -> Weights:
     """Count words and tags in and out of the content of at most ``limit`` labelled pages, on the executors."""
     labelled = pages.select(F.col(html_col).alias("html")).where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
-    sample = labelled.orderBy(F.xxhash64("html")).limit(limit)
+    sample = by_hash(labelled, F.xxhash64("html"), pages.count(), limit)
 
     def run(batches):
         for b in batches:
