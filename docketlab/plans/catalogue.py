@@ -416,14 +416,14 @@ def _incident_docs(spark, d) -> DataFrame:
     s = lambda c: F.array(c)
     none = F.array().cast("array<string>")
     return o.select(
-        F.col("o_orderkey").alias("id"), F.concat_ws("/", F.lit("agency"), F.lit("batch"), F.col("o_orderstatus"), (F.col("o_orderkey") % 997).cast("string"), F.concat(F.col("o_orderkey").cast("string"), F.lit(".pdf"))).alias("path"),
-        F.when(F.col("o_orderkey") % 3 == 0, s(F.concat(F.lit("IA"), (F.col("o_custkey") % 500).cast("string")))).otherwise(none).alias("t1_case_ids"), s(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("t1_dates"),
+        F.col("o_orderkey").alias("id"), F.concat_ws("/", F.lit("agency"), F.lit("batch"), F.col("o_orderstatus"), F.expr("o_orderkey div 4").cast("string"), F.concat(F.col("o_orderkey").cast("string"), F.lit(".pdf"))).alias("path"),
+        F.when(F.col("o_orderkey") % 3 == 0, s(F.concat(F.lit("IA"), F.col("o_custkey").cast("string")))).otherwise(none).alias("t1_case_ids"), s(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("t1_dates"),
         s(F.concat(F.lit("person "), F.col("o_custkey").cast("string"))).alias("t1_names"), none.alias("t2_case_ids"), s(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("t2_dates"), s(F.concat(F.lit("subject "), F.col("o_custkey").cast("string"))).alias("t2_subjects"), none.alias("t2_officers"),
     )
 
 
 @query("""
-WITH o AS (SELECT o_orderkey AS id, o_orderkey % 3 = 0 AS has, o_custkey % 500 AS cid, o_custkey AS cust, CAST(o_orderdate AS DATE) AS day, o_orderstatus || '/' || (o_orderkey % 997) AS dir FROM orders),
+WITH o AS (SELECT o_orderkey AS id, o_orderkey % 3 = 0 AS has, o_custkey AS cid, o_custkey AS cust, CAST(o_orderdate AS DATE) AS day, o_orderstatus || '/' || (o_orderkey // 4) AS dir FROM orders),
 p AS (SELECT a.id AS src, b.id AS dst, a.has AND b.has AND a.cid = b.cid AS same, a.has AND b.has AND a.cid <> b.cid AS conflict, a.dir = b.dir AS dir, a.cust = b.cust AND a.day = b.day AS who FROM o a JOIN o b ON a.id < b.id AND ((a.has AND b.has AND a.cid = b.cid) OR a.dir = b.dir OR (a.cust = b.cust AND a.day = b.day))),
 q AS (SELECT *, CASE WHEN same THEN 'case_id_only' WHEN dir AND NOT conflict THEN 'exact_dir_match' WHEN who AND NOT conflict THEN 'name_and_date' WHEN who THEN 'subject_name_and_date' END AS match_type FROM p)
 SELECT src, dst, CASE WHEN match_type = 'subject_name_and_date' THEN 2 ELSE 1 END AS tier, match_type FROM q WHERE match_type IS NOT NULL""")
