@@ -2,25 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..plans.scratch import shared_root
+
 #: bytes.translate table: A-Z to a-z, all else as it is.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="docketlab-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/llm-{spark.sparkContext.applicationId}"
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: it cuts lineage, and a lost executor loses nothing."""
     spark = df.sparkSession

@@ -7,7 +7,6 @@ in no match, so they end a run, and runs shorter than the shortest window can ho
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -306,7 +305,3 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold any window of the benchmark."""
     bad = materialize(find_contamination(docs, benchmark).where("n_hit > 0").groupBy("doc_id", "h").count(), "leaks").withColumnsRenamed({"doc_id": "__dc_id", "h": "__dc_h"})
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__dc_id"]) & (text_hash(docs["text"]) == bad["__dc_h"]), "left_anti")
-
-
-def digest(items) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
