@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions import dates as D, extract as X, lists as L, similarity as M, text as T
-from ..operators import cases, clustering, graph, learning, linkage, metrics, pii, segmentation
+from ..operators import cases, clustering, graph, learning, legacy, linkage, metrics, pii, segmentation
 from ..streaming import pages as streams
 from . import completions
 
@@ -621,3 +621,40 @@ def name_cleaning(spark, d):
 def list_parsing(spark, d):
     v = F.concat(F.lit("['"), F.col("r_name"), F.lit("', None, 'x']"))
     return t(spark, d, "region").select("r_regionkey", L.text_list(v).alias("elements"), L.text_vector(F.lit("[1.5 2 3]")).alias("vector"), L.chunks(F.sequence(F.lit(1), F.lit(9))).alias("chunks"))
+
+
+# --- earlier forms -----------------------------------------------------------------------------------------------
+
+
+@query(r"""
+WITH w AS (SELECT conv_id, turn, unnest(regexp_extract_all(lower(text), '[a-z]{2,}')) AS term FROM conversations WHERE turn < 2), p AS (SELECT term, conv_id, turn, count(*) AS tf FROM w WHERE term NOT IN ('the', 'of', 'and', 'to', 'in') GROUP BY ALL)
+SELECT term, CAST(sum(tf) AS BIGINT) AS tf, count(*) AS df FROM p GROUP BY term HAVING length(term) >= 12""")
+def tfidf_terms(spark, d):
+    pages = t(spark, d, "conversations").where("turn < 2").withColumn("words", F.array_join(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{2,})"), F.lit(1)), " "))
+    return legacy.term_weights(pages, "words", 1_000_000).where("length(term) >= 12").select("term", "tf", "df")
+
+
+@query()
+def manual_features(spark, d):
+    return legacy.file_features(t(spark, d, "conversations"), "conv_id", "turn", "text", ["the", "of"], ["the"])
+
+
+@query()
+def persons_merged(spark, d):
+    rows = t(spark, d, "supplier").select(F.col("s_nationkey").alias("k"), F.concat(F.lit("Smith, "), F.when(F.col("s_suppkey") % 2 == 0, "John").otherwise("Mary")).alias("name"), F.array(F.lit("witness")).alias("person_type"), F.col("s_suppkey").alias("page_number"), F.col("s_name").alias("document_name"), F.lit("high").alias("confidence"), F.lit("").alias("address"))
+    return legacy.merged_persons(rows, "k")
+
+
+@query()
+def path_weight_edges(spark, d):
+    o = t(spark, d, "orders")
+    docs = o.select(F.col("o_orderkey").alias("id"), F.concat(F.lit("IA"), F.col("o_custkey").cast("string"), F.lit(".pdf")).alias("document_name"), F.lit("a/b").alias("gdrive_path"), F.col("o_orderpriority").alias("name"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.lit(None).cast("string").alias("case_numbers"))
+    return legacy.edges(docs.withColumn("name", F.lit(None).cast("string")).withColumn("date", F.lit(None).cast("string")))
+
+
+@query()
+def pair_model_features(spark, d):
+    docs = _incident_docs(spark, d)
+    pairs = clustering.pair_features(clustering.candidate_pairs(docs, clustering.Rules()), docs)
+    rows = legacy.model_features(pairs)
+    return rows.select("a", "b", *legacy.tier_features([c for c in rows.columns if "_" in c], (1, 2)))

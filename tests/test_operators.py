@@ -237,3 +237,40 @@ def test_training_and_samples(spark):
     docs = spark.createDataFrame([(i, i % 4 == 0, 3) for i in range(40)], "id long, y boolean, n int")
     kept = {r.y: r.s for r in learning.balanced_by_pages(docs, "y", "n").groupBy("y").agg(F.sum("n").alias("s")).collect()}
     assert kept == {True: 30, False: 30}
+
+
+PATHS = "id long, document_name string, gdrive_path string, name string, date string, case_numbers string"
+
+
+@pytest.mark.parametrize(
+    "a,b,want",
+    [
+        (("IAD-552.pdf", "p", None, None, None), ("IAD-552.pdf", "p", None, None, None), 1.0),
+        (("IAD-552.pdf", "p", None, None, None), ("IAD-553.pdf", "p", None, None, None), None),
+        (("a.pdf", "p", "Ann Lee", "2020-01-01", None), ("b.pdf", "p", "Ann Lee", "2020-01-20", None), 1.0),
+        (("a.pdf", "p", "Ann Lee", "2020-01-01", None), ("b.pdf", "p", "Bo Poe", "2020-01-20", None), None),
+        (("a.pdf", "p", None, "2020-01-01", None), ("b.pdf", "p", None, "2020-02-20", None), 0.7),
+        (("a.pdf", "p", None, "2020-01-01", "N1"), ("b.pdf", "p", None, "2020-02-01", "N1"), 1.0),
+        (("IA12.mp3", "p", None, None, None), ("IA12.wav", "p", None, None, None), 1.0),
+    ],
+)
+def test_path_weights(spark, a, b, want):
+    from docketlab.operators import legacy
+
+    got = [r.weight for r in legacy.edges(spark.createDataFrame([(1, *a), (2, *b)], PATHS)).collect()]
+    assert got == ([want] if want else [])
+
+
+def test_persons_and_pair_features(spark):
+    from docketlab.operators import legacy
+
+    row = lambda n, p, c: ("case", n, ["witness"], p, f"d{p}", c, "")
+    df = spark.createDataFrame([row("Smith, John", 1, "low"), row("john smith", 2, "high"), row("Mary Roe", 3, "medium")], "k string, name string, person_type array<string>, page_number int, document_name string, confidence string, address string")
+    got = sorted((r.original_count, r.page_number, r.confidence) for r in legacy.merged_persons(df, "k").collect())
+    assert got == [(1, [3], "medium"), (2, [1, 2], "high")]
+    docs = spark.createDataFrame([features(1, path="a/b/c/d/x", names=["john smith"], dates=["2020-01-01"]), features(2, path="a/b/c/d/y", names=["john smith"], dates=["2020-01-31"])], DOCS)
+    pairs = clustering.pair_features(clustering.candidate_pairs(docs, clustering.Rules()), docs)
+    f = legacy.model_features(pairs).first()
+    assert (f.tier1_min_date_diff_days, f.tier2_min_date_diff_days, f.combined_min_date_diff_days) == (30, None, 30)
+    assert f.exact_dir_match and f.shared_3plus_dirs and f.tier1_has_full_name_match and not f.tier1_name_and_date
+    assert "any_date_match" not in legacy.tier_features(["tier1_x", "any_date_match", "tier2_y"], (1,))
