@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.dates import within_days
 from ..functions.similarity import unit
+from ..plans.scratch import written
 from . import graph
 
 
@@ -129,7 +130,7 @@ def match_edges(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def cluster(docs: DataFrame, rules: Rules = Rules(), edges: DataFrame | None = None) -> DataFrame:
     """``id, cluster``: components of the match graph, loose ones split (documents that share one id stay together)."""
-    edges = match_edges(docs, rules) if edges is None else edges
+    edges = written(match_edges(docs, rules) if edges is None else edges, "matches")  # read by the rounds, the density and the split
     members = graph.components(docs.select("id"), edges)
     keys = docs.select("id", F.array_union("t1_case_ids", "t2_case_ids").alias("keys"))
     return graph.split_components(members, edges, keys, rules.density)

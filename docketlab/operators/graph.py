@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..plans.scratch import written
+from ..plans.scratch import discard, written
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -13,29 +13,50 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
 
 
-def components(vertices: DataFrame, edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """``id, component`` for each vertex, the component being its least id.
+#: Edges of one task and file of a round.
+EDGES_PER_FILE = 500_000
 
-    Each round hangs every vertex below the least root that its neighbours know and then shortens the paths to the
-    roots, so the rounds grow with the logarithm of a component's width. Rounds are written, not held in lineage.
+
+def _large_star(e: DataFrame) -> DataFrame:
+    both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("m"))
+    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+
+
+def _small_star(e: DataFrame) -> DataFrame:
+    down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    kept = down.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return kept.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def star_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+    """``node, root`` for every node of ``edges`` (``u, v``) with an edge to another; the root is its component's least.
+
+    Alternating large-star and small-star rounds: each is a minimum per node and a join, both on the node, so a node with
+    very many edges is combined map-side and its join can be split; no neighbour list is ever gathered. Each round is
+    written. An empty edge table gives an empty result; self-loops are ignored.
     """
-    label = written(vertices.select("id", F.col("id").alias("root")), "labels")
-    links = written(both_ways(edges), "links")
-    if links.isEmpty():
-        return label.select("id", F.col("root").alias("component"))
+    now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    seen = None
     for _ in range(rounds):
-        seen = links.join(label.withColumnRenamed("id", "dst"), "dst").select(F.col("src").alias("id"), "root")
-        own = links.join(label.withColumnRenamed("id", "src"), "src").select("root", F.col("dst").alias("id")).join(label.withColumnRenamed("root", "mine"), "id")
-        hooks = own.where("root < mine").groupBy("mine").agg(F.min("root").alias("under"))
-        hung = label.join(seen.groupBy("id").agg(F.min("root").alias("near")), "id", "left").join(hooks, label["root"] == hooks["mine"], "left")
-        now = written(hung.select("id", F.least("root", F.coalesce("near", "root"), F.coalesce("under", "root")).alias("root")), "hung")
-        parents = now.select(F.col("id").alias("root"), F.col("root").alias("up"))
-        after = written(now.join(parents, "root").select("id", F.col("up").alias("root")), "labels")
-        same = after.join(label.withColumnRenamed("root", "was"), "id").where("root <> was").isEmpty()
-        label = after
-        if same:
-            return label.select("id", F.col("root").alias("component"))
-    raise RuntimeError("components did not settle")
+        mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if mark == seen or mark[0] == 0:
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        seen = mark
+        few = 1 + mark[0] // EDGES_PER_FILE  # a round makes no more edges than twice those before it
+        large = written(_large_star(now).coalesce(few), "large")
+        after = written(_small_star(large).coalesce(few), "small")
+        discard(large)
+        discard(now)
+        now = after
+    raise RuntimeError(f"components did not settle in {rounds} rounds")
+
+
+def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """``id, component`` for each vertex, the component being its least id; only linked vertices take part in the rounds."""
+    roots = star_components(edges.select(F.col("src").alias("u"), F.col("dst").alias("v")))
+    return written(vertices.join(roots, vertices["id"] == roots["node"], "left").select("id", F.coalesce("root", "id").alias("component")), "components")
 
 
 def density(members: DataFrame, edges: DataFrame, threshold: float = 0.3) -> DataFrame:

@@ -18,7 +18,21 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet and read again: its lineage ends there."""
+    """``df`` written as Parquet and read again: it cuts lineage, and a lost executor loses nothing."""
     path = f"{shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that :func:`written` made and that no plan still to be run reads."""
+    path = getattr(df, "_scratch", None)
+    if path:
+        delete(df.sparkSession, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
