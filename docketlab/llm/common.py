@@ -2,39 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..plans.scratch import shared_root
+from ..plans.scratch import delete, discard, shared_root, written as materialize
+
+__all__ = ["LOWER", "clean_scratch", "discard", "id_and_bytes", "materialize", "partitions", "table", "text_hash"]
 
 #: bytes.translate table: A-Z to a-z, all else as it is.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: it cuts lineage, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._scratch = path
-    return out
-
-
-def discard(df: DataFrame) -> None:
-    """Delete a table that :func:`materialize` wrote and that no plan still to be run reads."""
-    path = getattr(df, "_scratch", None)
-    if path:
-        spark = df.sparkSession
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def clean_scratch(spark: SparkSession) -> None:
     """Delete all that this application left in the shared folder; call it once its results are written."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(shared_root(spark))
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    delete(spark, shared_root(spark))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

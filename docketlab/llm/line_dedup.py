@@ -16,8 +16,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.graph import star_components
 from .common import materialize, partitions, text_hash
-from .graph import connected_components
 
 EDITS = 2
 #: Shorter lines match only exactly: few edits would make other lines of them.
@@ -323,7 +323,7 @@ def line_classes(docs: DataFrame, text_col: str = "text", edits: int = EDITS, le
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     links = similar_lines(docs.select("doc_id", text_col), text, edits, least)
-    roots = materialize(connected_components(links), "roots")
+    roots = materialize(star_components(links), "roots")
     at = corpus_lines(docs, text).drop("body")
     side = F.broadcast(roots) if roots.count() <= BROADCAST_ROWS else roots
     at = at.join(side, at["line"] == side["node"], "left").select("id", "row", "nr", F.coalesce("root", "line").alias("class"))

@@ -13,8 +13,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.graph import star_components
 from .common import LOWER, id_and_bytes, materialize, partitions, text_hash
-from .graph import connected_components
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -204,7 +204,7 @@ def components(prints: DataFrame, heaviest: int = 200_000, rows_per_task: int =
     tasks = _tasks(distinct.select("fp"), heaviest)
     n = max(partitions(spark), distinct.count() * (64 // BLOCK) // rows_per_task)
     links = tasks.repartition(n, "blk", "left", "right").mapInArrow(_join_partition, "u long, v long")
-    roots = connected_components(links)
+    roots = star_components(links)
     least = roots.join(distinct, roots.node == distinct.fp).groupBy("root").agg(F.min("first").alias("component_id"))
     linked = roots.join(least, "root").select(F.col("node").alias("fp"), "component_id")
     return materialize(distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id")), "components")
