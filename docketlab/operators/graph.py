@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..plans.scratch import discard, written
@@ -30,14 +31,37 @@ def _small_star(e: DataFrame) -> DataFrame:
     return kept.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def star_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+#: Edges up to which one task finds the components; the table is counted first, and rounds follow beyond.
+ONE_TASK_EDGES = 200_000
+
+
+def _one_task(batches):
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    for b in batches:
+        for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            a, c = find(u), find(v)
+            root[max(a, c)] = min(a, c)
+    nodes = list(root)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], ["node", "root"])
+
+
+def star_components(edges: DataFrame, rounds: int = 60, one_task: int = ONE_TASK_EDGES) -> DataFrame:
     """``node, root`` for every node of ``edges`` (``u, v``) with an edge to another; the root is its component's least.
 
-    Alternating large-star and small-star rounds: each is a minimum per node and a join, both on the node, so a node with
+    Up to ``one_task`` edges (counted) are joined in one task, which spares the rounds' many small files. Beyond,
+    alternating large-star and small-star rounds: each is a minimum per node and a join, both on the node, so a node with
     very many edges is combined map-side and its join can be split; no neighbour list is ever gathered. Each round is
     written. An empty edge table gives an empty result; self-loops are ignored.
     """
     now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    if one_task and now.count() <= one_task:
+        return written(now.select(F.col("u").cast("long"), F.col("v").cast("long")).coalesce(1).mapInArrow(_one_task, "node long, root long"), "roots")
     seen = None
     for _ in range(rounds):
         mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
