@@ -342,8 +342,12 @@ def nonle_guard(spark, d):
 _TOKENS = "k AS (SELECT DISTINCT doc_id, w FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents) WHERE length(w) >= 12), rare AS (SELECT w FROM k GROUP BY w HAVING count(*) BETWEEN 2 AND 3)"
 
 
+def _tokens(spark, d) -> DataFrame:
+    return t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.explode(F.array_distinct(F.split("text", " ", -1))).alias("w")).where(F.length("w") >= 12)
+
+
 def _token_edges(spark, d) -> DataFrame:
-    k = t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.explode(F.array_distinct(F.split("text", " ", -1))).alias("w")).where(F.length("w") >= 12)
+    k = _tokens(spark, d)
     rare = k.groupBy("w").agg(F.count("*").alias("n")).where("n BETWEEN 2 AND 3").select("w")
     return graph.star_edges(k.join(rare, "w", "left_semi"), "w")
 
@@ -360,16 +364,13 @@ def date_name_edges(spark, d):
     return graph.star_edges(rows, "k")
 
 
-def _few_edges(spark, d) -> DataFrame:
-    return _token_edges(spark, d).where("src % 5 < 4 AND (src * 7 + dst) % 10 < 3")
-
-
 _FEW = f"{_TOKENS}, mm AS (SELECT w, min(doc_id) AS src FROM k JOIN rare USING (w) GROUP BY w), e AS (SELECT DISTINCT src, doc_id AS dst FROM mm JOIN k USING (w) WHERE src <> doc_id AND src % 5 < 4 AND (src * 7 + doc_id) % 10 < 3), b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e)"
 
 
 @query()
 def components(spark, d):
-    return graph.components(t(spark, d, "documents").select(F.col("doc_id").alias("id")), _few_edges(spark, d))
+    """Documents linked by any word they share, however many share it; SQL that recurses over all edges is too slow."""
+    return graph.components(t(spark, d, "documents").select(F.col("doc_id").alias("id")), graph.star_edges(_tokens(spark, d), "w"))
 
 
 @query(f"WITH RECURSIVE {_FEW.replace('documents', '(SELECT * FROM documents WHERE lang = ' + chr(39) + 'es' + chr(39) + ')')}, v AS (SELECT doc_id AS id FROM documents WHERE lang = 'es'), reach(id, node) AS (SELECT id, id FROM v UNION SELECT reach.id, b.dst FROM reach JOIN b ON b.src = reach.node) SELECT id, min(node) AS component FROM reach GROUP BY id")
