@@ -34,3 +34,19 @@ def test_components_take_every_shared_word(spark, tmp_path):
     assert max(map(len, by_word.values())) > 3
     d = tables(spark, tmp_path, documents=(docs, "doc_id long, text string"))
     assert {r.id: r.component for r in catalogue.components(spark, d).collect()} == {i: find(i) for i, _ in docs}
+
+
+def test_name_net_takes_all_parts(spark, tmp_path):
+    names = ["red ring", "red rim", "rex ring", "blue ring", "blue bolt", "RED ring", "green"]
+    parts = [(i, names[i % len(names)]) for i in range(30)]
+    want = set()
+    for a, x in parts:
+        for b, y in parts:
+            (f, l), (g, m) = ((z.upper().split(" ") + [""])[:2] for z in (x, y))
+            if a != b and (f[:2] == g[:2] and l == m or f == g and l[:2] == m[:2]):
+                want.add((a, b))
+    d = tables(spark, tmp_path, part=(parts, "p_partkey long, p_name string"))
+    rows = [(r.a, r.b) for r in catalogue.name_net_join_whole(spark, d).collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+    some = {(r.a, r.b) for r in catalogue.name_net_join(spark, d).collect()}
+    assert some == {(a, b) for a, b in want if a % 7 == 0 and b % 7 == 1} != want
