@@ -60,15 +60,22 @@ def weight() -> Column:
 
 def edges(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``src, dst, weight`` of pairs above ``least``. Pairs meet by an id, a name or a number in common, or by a month
-    next to one another where neither has ids or names: a weight above a half needs one of these."""
+    next to one another where neither has ids or numbers and one has no names: a weight of more than a half, the least
+    that ``least`` may be, needs one of these."""
     p = prepared(docs)
     month = lambda d: F.year(d) * 12 + F.month(d)
     own = F.transform("ids", lambda x: F.concat(F.lit("i:"), x))
     people = F.transform("names", lambda x: F.concat(F.lit("n:"), x))
     numbers = F.transform("numbers", lambda x: F.concat(F.lit("c:"), x))
-    when = F.when(D.iso_date("date").isNotNull(), F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda k: F.concat(F.lit("m:"), (month(D.iso_date("date")) + k).cast("string"))))
-    keys = p.select("id", F.explode(F.array_distinct(F.concat(own, people, numbers, F.coalesce(when, F.array().cast("array<string>"))))).alias("k"))
-    pairs = keys.withColumnRenamed("id", "a").join(keys.withColumnRenamed("id", "b"), "k").where("a < b").select("a", "b").distinct()
+    keys = p.select("id", F.explode(F.array_distinct(F.concat(own, people, numbers))).alias("k"))
+    pairs = keys.withColumnRenamed("id", "a").join(keys.withColumnRenamed("id", "b"), "k").where("a < b").select("a", "b")
+    none = lambda c: ~F.coalesce(F.size(c) > 0, F.lit(False))
+    dated = p.where(none("ids") & none("numbers") & (F.col("extension") == ".pdf") & D.iso_date("date").isNotNull())
+    dated = dated.select("id", month(D.iso_date("date")).alias("m"), none("names").alias("bare"))
+    around = F.explode(F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda k: F.col("m") + k))  # weights above a half end at 60 days
+    bare = dated.where("bare").select(F.col("id").alias("other"), around.alias("m"))
+    months = dated.join(bare, "m").where("id <> other").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+    pairs = pairs.unionByName(months).distinct()
     side = lambda s: p.select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in p.columns if c != "id"])
     rows = pairs.join(side("a"), "a").join(side("b"), "b").where(comparable()).withColumn("weight", weight())
     return rows.where(F.col("weight") > least).select(F.col("a").alias("src"), F.col("b").alias("dst"), "weight")
@@ -174,13 +181,14 @@ HEADING, SECTION = r"^[A-Z0-9][A-Z0-9\s]{4,50}$", r"^(\d+(?:\.\d+)+)"
 STOP = "the of and to in a is that for it as was with be by on not he his but at are this have from or had an they which one you were all her she there would their we him been has when who will no more if out so up said what its about than into them can only other time new some could these two may first then do any like my now over such our man me even most made after also did many".split()
 
 
-def term_weights(pages: DataFrame, text: str, n: int = 30) -> DataFrame:
-    """The ``n`` most frequent words of the pages, with their document frequency and TF-IDF weight."""
-    rows = pages.withColumn("__d", F.monotonically_increasing_id()).select("__d", F.explode(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(\b\w\w+\b)"), F.lit(1))).alias("term"))
+def term_weights(pages: DataFrame, text: str, n: int | None = 30) -> DataFrame:
+    """The ``n`` most frequent words of the pages (None: all, in no order), with their document frequency and TF-IDF weight."""
+    rows = pages.withColumn("__d", F.monotonically_increasing_id()).select("__d", F.explode(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)(\b\w\w+\b)"), F.lit(1))).alias("term"))
     per = rows.where(~F.col("term").isin(STOP)).groupBy("term", "__d").agg(F.count("*").alias("tf")).groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
     total = pages.agg(F.count("*").alias("pages"))
     idf = F.log((1 + F.col("pages")) / (1 + F.col("df"))) + 1
-    return per.crossJoin(F.broadcast(total)).withColumn("tfidf", F.col("tf") * idf).orderBy(F.desc("tf"), "term").limit(n).drop("pages")
+    out = per.crossJoin(F.broadcast(total)).withColumn("tfidf", F.col("tf") * idf).drop("pages")
+    return out if n is None else out.orderBy(F.desc("tf"), "term").limit(n)
 
 
 def page_lines(pages: DataFrame, text: str) -> DataFrame:

@@ -608,8 +608,8 @@ def most_common_values(spark, d):
 
 @query()
 def llm_distinct_map(spark, d):
-    docs = t(spark, d, "documents").select("doc_id", "lang", "source")
-    done = completions.complete(docs, T.render("Source $source in $lang", source="source", lang="lang"))
+    docs = t(spark, d, "documents").select("doc_id", "lang", "source", "text")
+    done = completions.complete(docs, T.render("Source $source in $lang: $text", source="source", lang="lang", text="text"))
     return done.select("doc_id", "answer", "answer_error")
 
 
@@ -645,7 +645,13 @@ WITH w AS (SELECT conv_id, turn, unnest(regexp_extract_all(lower(text), '[a-z]{2
 SELECT term, CAST(sum(tf) AS BIGINT) AS tf, count(*) AS df FROM p GROUP BY term HAVING length(term) >= 12""")
 def tfidf_terms(spark, d):
     pages = t(spark, d, "conversations").where("turn < 2").withColumn("words", F.array_join(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{2,})"), F.lit(1)), " "))
-    return legacy.term_weights(pages, "words", 1_000_000).where("length(term) >= 12").select("term", "tf", "df")
+    return legacy.term_weights(pages, "words", None).where("length(term) >= 12").select("term", "tf", "df")
+
+
+@query()
+def tfidf_terms_of_documents(spark, d):
+    """All terms of all documents with their weight; the SQL of :func:`tfidf_terms` has long terms of first turns."""
+    return legacy.term_weights(t(spark, d, "documents"), "text", None).select("term", "tf", "df", r6("tfidf").alias("tfidf"))
 
 
 @query()
@@ -661,9 +667,18 @@ def persons_merged(spark, d):
 
 @query()
 def path_weight_edges(spark, d):
-    o = t(spark, d, "orders")
-    docs = o.select(F.col("o_orderkey").alias("id"), F.concat(F.lit("IA"), F.col("o_custkey").cast("string"), F.lit(".pdf")).alias("document_name"), F.lit("a/b").alias("gdrive_path"), F.col("o_orderpriority").alias("name"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.lit(None).cast("string").alias("case_numbers"))
-    return legacy.edges(docs.withColumn("name", F.lit(None).cast("string")).withColumn("date", F.lit(None).cast("string")))
+    """Orders as files of their customer and day: by turns PDFs with an id, with a name, with a number, and recordings
+    with an id; every thousandth order has a day alone."""
+    o = t(spark, d, "orders").join(t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey", "left")
+    turn, day_alone = F.col("o_orderkey") % 4, F.col("o_orderkey") % 1000 == 1
+    case = F.concat(F.lit("IA"), F.col("o_custkey").cast("string"))
+    known = turn.isin(0, 3)
+    document = F.when(turn == 0, F.concat(case, F.lit(".pdf"))).when(turn == 3, F.concat(case, F.lit(".mp3"))).otherwise("scan.pdf")
+    number = F.when(turn == 2, F.concat(F.lit("N"), F.col("o_custkey").cast("string")))
+    return legacy.edges(o.select(
+        F.col("o_orderkey").alias("id"), document.alias("document_name"), F.when(known, F.concat(F.lit("a/"), case)).otherwise("a/b").alias("gdrive_path"),
+        F.when((turn != 2) & ~day_alone, F.col("c_name")).alias("name"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), number.alias("case_numbers"),
+    ))
 
 
 @query()

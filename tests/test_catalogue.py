@@ -1,6 +1,13 @@
+import datetime as dt
+import itertools
+import math
 import random
+import re
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
+from docketlab.operators import legacy
 from docketlab.plans import catalogue
 
 
@@ -50,3 +57,64 @@ def test_name_net_takes_all_parts(spark, tmp_path):
     assert len(rows) == len(set(rows)) and set(rows) == want
     some = {(r.a, r.b) for r in catalogue.name_net_join(spark, d).collect()}
     assert some == {(a, b) for a, b in want if a % 7 == 0 and b % 7 == 1} != want
+
+
+def test_term_weights_of_all_documents(spark, tmp_path):
+    rng = random.Random(4)
+    words = ["éclair", "straße", "ab", "a", "longerthantwelve", "Mixed", "x1", *(f"rare{k}" for k in range(50))]
+    docs = [(i, " ".join(rng.choices(words, k=rng.randrange(1, 30)))) for i in range(40)] + [(40, None), (41, "")]
+    tf, df = Counter(), Counter()
+    for _, text in docs:
+        found = re.findall(r"\b\w\w+\b", (text or "").lower())
+        tf.update(found)
+        df.update(set(found))
+    d = tables(spark, tmp_path, documents=(docs, "doc_id long, text string"))
+    got = {r.term: (r.tf, r.df, r.tfidf) for r in catalogue.tfidf_terms_of_documents(spark, d).collect()}
+    assert {w: x[:2] for w, x in got.items()} == {w: (tf[w], df[w]) for w in tf}
+    assert all(abs(x[2] - tf[w] * (math.log((1 + len(docs)) / (1 + df[w])) + 1)) < 1e-5 for w, x in got.items())
+
+
+def test_every_branch_of_path_weights_is_run(spark, tmp_path):
+    rng = random.Random(5)
+    day = dt.datetime(2020, 1, 1)
+    orders = [(k, rng.randrange(3), day + dt.timedelta(days=rng.randrange(400))) for k in [*range(60), 1001, 2001, 3001]]
+    d = tables(spark, tmp_path, orders=(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp"), customer=([(k, f"Customer#{k}") for k in range(3)], "c_custkey long, c_name string"))
+    got = {(r.src, r.dst): r.weight for r in catalogue.path_weight_edges(spark, d).collect()}
+    want, kinds = {}, Counter()
+    for (i, c, x), (j, e, y) in itertools.combinations(sorted(orders), 2):
+        gap, same, p, q = abs((x - y).days), c == e, i % 4, j % 4
+        alone = [k % 1000 == 1 for k in (i, j)]
+        if p in (0, 3) and q in (0, 3):
+            # A recording before a PDF is no mirror of the other order: only names within 90 days speak for it.
+            w, kind = (1.0 if same and ((p, q) != (3, 0) or gap < 90) else 0.0), "id"
+        elif p == q == 2:
+            w, kind = (1.0 if same and gap < 90 else 0.0), "number"
+        elif p == q == 1 and not any(alone):
+            w, kind = (1.0 if same and gap < 90 else 0.5 * same + 0.5 * (1.0 if gap <= 30 else 0.7 if gap <= 60 else 0.5 if gap <= 90 else 0.0)), "name"
+        elif p == q == 1:
+            w, kind = (1.0 if gap <= 30 else 0.7 if gap <= 60 else 0.5 if gap <= 90 else 0.0), "date"
+        else:
+            continue
+        if w > 0.5:
+            want[i, j] = w
+            kinds[kind] += 1
+    assert got == want and set(kinds) == {"id", "number", "name", "date"}
+
+
+def test_pairs_of_path_weights_are_all_met(spark):
+    rng = random.Random(6)
+    pick = lambda *x: rng.choice([None, *x])
+    rows = [(i, rng.choice(["IA12.pdf", "IA13.mp3", "s.pdf", "s.pdf", "s", "s.mp3"]), rng.choice(["p", "p/IA12"]), pick("Ann Lee", "Bo Poe", "Ann Lee, Bo Poe"), pick(*(f"2020-0{m}-{x}" for m in range(1, 8) for x in ("01", "15", "30") if (m, x) != (2, "30"))), pick(None, "N1", "N2")) for i in range(150)]
+    docs = spark.createDataFrame(rows, "id long, document_name string, gdrive_path string, name string, date string, case_numbers string")
+    p = legacy.prepared(docs)
+    side = lambda s: p.select(*[F.col(c).alias(s if c == "id" else f"{s}_{c}") for c in p.columns])
+    every = side("a").crossJoin(side("b")).where("a < b").where(legacy.comparable()).withColumn("w", legacy.weight()).where("w > 0.5")
+    want = {(r.a, r.b): r.w for r in every.collect()}
+    assert {(r.src, r.dst): r.weight for r in legacy.edges(docs).collect()} == want and len(want) > 100
+
+
+def test_prompts_hold_the_documents_text(spark, tmp_path):
+    docs = [(1, "de", "web", "first text\nmore"), (2, "de", "web", "second text"), (3, "de", "web", None)]
+    d = tables(spark, tmp_path, documents=(docs, "doc_id long, lang string, source string, text string"))
+    asked = {r.doc_id: r.answer for r in catalogue.llm_distinct_map(spark, d).collect()}
+    assert asked == {1: "Source web in de: first text", 2: "Source web in de: second text", 3: "Source web in de:"}
