@@ -22,8 +22,8 @@ from .common import materialize, partitions, text_hash
 EDITS = 2
 #: Shorter lines match only exactly: few edits would make other lines of them.
 MIN_CHARS = 40
-#: Lines of fewer words are left alone.
-MIN_WORDS = 4
+#: Lines of fewer words are left alone: blank ones only, as a script without spaces makes one word of any line.
+MIN_WORDS = 1
 SEED = 42
 #: Index entries times probes of one segment up to which its pairs are passed on; beyond, the rest of the lines is segmented too.
 GROUP = 1 << 12
@@ -338,8 +338,8 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", edits: int = EDITS, lea
     """``docs`` with all columns, their texts without repeated lines, and ``__ld_lines``: array of (nr, class, kept) of the lines that are alike others.
 
     Every row stays, also one whose lines all go (its text is then empty); null texts stay null, and texts without
-    repeated lines stay as they are. Lines of under four words are left alone, and those of under forty characters match
-    only exactly. Empty tables, null ids, repeated rows and very long texts are taken as they come.
+    repeated lines stay as they are. Blank lines are left alone, and lines of under forty characters match only exactly.
+    Empty tables, null ids, repeated rows and very long texts are taken as they come.
     """
     found = line_classes(docs, text_col, edits, least)
     by_doc = found.groupBy(F.col("id").alias("__ld_id"), F.col("row").alias("__ld_row")).agg(F.array_sort(F.collect_set(F.struct("nr", "class", "kept"))).alias("__ld_lines"))

@@ -126,3 +126,10 @@ def components(pairs):
         for x in group:
             root[x] = group
     return {frozenset(g) for g in root.values()}
+
+
+def test_lines_of_few_words_repeat(spark):
+    chinese = "".join(chr(0x4E00 + 7 * k) for k in range(60))
+    url = "https://example.org/a/path/of/some/length?key=0123456789abcdef"
+    docs = [(1, f"All rights reserved.\n\n{chinese}\nok"), (2, f"All rights reserved.\n\n \t\n{url}\nother"), (3, f"ok\n{chinese[:-1]}x\n\n{url[:-1]}e\n \t"), (4, "okay\nOK")]
+    assert run(spark, docs) == [(1, docs[0][1]), (2, f"\n \t\n{url}\nother"), (3, "\n \t"), (4, "okay\nOK")]
