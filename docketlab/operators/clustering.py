@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.dates import within_days
 from ..functions.similarity import unit
+from ..functions.text import render
+from ..plans import completions
 from ..plans.scratch import written
 from . import graph
 
@@ -63,6 +65,8 @@ def candidate_pairs(docs: DataFrame, rules: Rules) -> DataFrame:
             nets.append(_shared(docs, "t2_subjects", "t2_dates"))
         if rules.on("t2_date_officer"):
             nets.append(_shared(docs, "t2_officers", "t2_dates"))
+    if not nets:
+        return docs.select(F.col("id").alias("a"), F.col("id").alias("b")).where(F.lit(False))
     out = nets[0]
     for n in nets[1:]:
         out = out.unionByName(n)
@@ -117,15 +121,55 @@ def shares_directories(n: int = 2) -> Column:
     return F.col("a_path").isNull() | F.col("b_path").isNull() | (shared_depth("a_path", "b_path") >= n)
 
 
-def match_edges(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """``src, dst, tier, match_type`` of all pairs that a tier matches; a block in the first keeps the second away."""
-    rows = pair_features(candidate_pairs(docs, rules), docs)
+def no_match():
+    """Provider without a model: no pair matches, and no merge is approved."""
+    return lambda prompt: "0.0"
+
+
+#: The pair's summaries are ``$a`` and ``$b``; the answer has a score of 0, 0.5 or 1.
+COMPARISON = "Score 1.0 if the two summaries tell of the same incident, 0.5 if they may, 0.0 if not.\n\n1: $a\n\n2: $b"
+#: The files' common directory is ``$directory`` and their paths ``$paths``; the answer has 1 for yes.
+APPROVAL = "Score 1.0 if all these files are of one incident, 0.0 if not.\n\nDirectory: $directory\n$paths"
+
+
+def tier3_pairs(summaries: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Pairs ``a, b`` that share a type of summary whose vectors are of ``rules.similarity`` or more."""
+    some = summaries.where(F.col("vector").isNotNull() & (F.trim(F.coalesce("summary", F.lit(""))) != ""))
+    return cosine_edges(some, rules.similarity, "type").select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct()
+
+
+def tier3_edges(pairs: DataFrame, summaries: DataFrame, provider: completions.Provider = no_match, prompt: str = COMPARISON, **asked) -> DataFrame:
+    """``src, dst`` of the pairs whose summaries a model scores 1; an error or another answer is no match."""
+    each = F.concat(F.col("type"), F.lit(": "), F.col("summary"))
+    whole = summaries.where(F.trim(F.coalesce("summary", F.lit(""))) != "").groupBy("id").agg(F.array_join(F.array_sort(F.collect_list(each)), "\n").alias("body"))
+    rows = pairs.join(whole.select(F.col("id").alias("a"), F.col("body").alias("one")), "a").join(whole.select(F.col("id").alias("b"), F.col("body").alias("two")), "b")
+    done = completions.complete(rows, render(prompt, a="one", b="two"), provider, valid=completions.verdict("answer").isNotNull(), **asked)
+    return done.where(completions.verdict("answer") == 1).select(F.col("a").alias("src"), F.col("b").alias("dst"))
+
+
+def match_edges(docs: DataFrame, rules: Rules = Rules(), summaries: DataFrame | None = None, provider: completions.Provider = no_match, prompt: str = COMPARISON, **asked) -> DataFrame:
+    """``src, dst, tier, match_type`` of all pairs that a tier matches; a block in the first keeps the others away.
+
+    The third tier, if it is among the rules' tiers, takes ``summaries`` (``id, type, summary, vector``, those that say
+    something): pairs past its gate that the others leave open are put to ``provider``, offline to none.
+    """
+    third = 3 in rules.tiers and summaries is not None
+    pairs = candidate_pairs(docs, rules).withColumn("gate", F.lit(False))
+    if third:
+        pairs = pairs.unionByName(tier3_pairs(summaries, rules).withColumn("gate", F.lit(True))).groupBy("a", "b").agg(F.max("gate").alias("gate"))
+    rows = pair_features(pairs, docs)
     first = F.when(shares_directories(), tier1(rules)).otherwise("maybe") if 1 in rules.tiers else F.lit("maybe")
     second = tier2(rules) if 2 in rules.tiers else F.lit(None).cast("string")
-    rows = rows.select("a", "b", first.alias("one"), second.alias("two"))
+    rows = rows.select("a", "b", "gate", first.alias("one"), second.alias("two"))
+    if third:
+        rows = written(rows, "tiers")
     hit = ~F.col("one").isin("maybe", "block")
     found = rows.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.when(hit, 1).when((F.col("one") == "maybe") & F.col("two").isNotNull(), 2).alias("tier"), F.when(hit, F.col("one")).otherwise(F.col("two")).alias("match_type"))
-    return found.where(F.col("tier").isNotNull())
+    found = found.where(F.col("tier").isNotNull())
+    if not third:
+        return found
+    left = rows.where((F.col("one") == "maybe") & F.col("two").isNull() & F.col("gate")).select("a", "b")
+    return found.unionByName(tier3_edges(left, summaries, provider, prompt, **asked).select("src", "dst", F.lit(3).alias("tier"), F.lit("llm_summary_comparison").alias("match_type")))
 
 
 def cluster(docs: DataFrame, rules: Rules = Rules(), edges: DataFrame | None = None) -> DataFrame:
@@ -206,3 +250,18 @@ def singleton_directories(clusters: DataFrame, docs: DataFrame, depth: int = 0)
     alone = clusters.withColumn("n", F.count("*").over(W.partitionBy("cluster"))).where("n = 1").select("id")
     rows = docs.join(alone, "id", "left_semi").select("id", directory_at("path", depth).alias("directory"))
     return rows.groupBy("directory").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
+
+
+def singletons_merged(clusters: DataFrame, docs: DataFrame, depth: int = 0, provider: completions.Provider = no_match, prompt: str = APPROVAL, **asked) -> DataFrame:
+    """``id, cluster``: clusters of one document in a directory, so many levels up, are one cluster if a model approves.
+
+    Offline nothing is merged; the merged cluster is its least id.
+    """
+    from ..functions.text import directory_at
+
+    alone = clusters.withColumn("n", F.count("*").over(W.partitionBy("cluster"))).where("n = 1").select("id")
+    rows = docs.join(alone, "id", "left_semi").select("id", "path", directory_at("path", depth).alias("directory")).where(~F.coalesce("directory", F.lit("")).isin("", "."))
+    groups = rows.groupBy("directory").agg(F.count("*").alias("n"), F.min("id").alias("merged"), F.array_join(F.array_sort(F.collect_list("path")), "\n").alias("paths")).where("n > 1")
+    done = completions.complete(groups, render(prompt, directory="directory", paths="paths"), provider, valid=completions.verdict("answer").isNotNull(), **asked)
+    yes = rows.join(done.where(completions.verdict("answer") == 1).select("directory", "merged"), "directory").select("id", "merged")
+    return clusters.join(yes, "id", "left").select("id", F.coalesce("merged", "cluster").alias("cluster"))

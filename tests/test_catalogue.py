@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from docketlab.operators import legacy
+from docketlab.operators import clustering, legacy
 from docketlab.plans import catalogue
 
 
@@ -118,3 +118,44 @@ def test_prompts_hold_the_documents_text(spark, tmp_path):
     d = tables(spark, tmp_path, documents=(docs, "doc_id long, lang string, source string, text string"))
     asked = {r.doc_id: r.answer for r in catalogue.llm_distinct_map(spark, d).collect()}
     assert asked == {1: "Source web in de: first text", 2: "Source web in de: second text", 3: "Source web in de:"}
+
+
+CASES = "id long, path string, t1_case_ids array<string>, t1_dates array<string>, t1_names array<string>, t2_case_ids array<string>, t2_dates array<string>, t2_subjects array<string>, t2_officers array<string>"
+
+
+def test_third_tier_asks_about_what_the_others_leave(spark):
+    ids = {1: ["X1"], 2: ["X1"], 3: [], 4: [], 5: ["Y1"], 6: ["Y2"], 7: [], 8: []}
+    docs = spark.createDataFrame([(i, f"a/b/c/{i}/x.pdf", k, *([[]] * 6)) for i, k in ids.items()], CASES)
+    near, far = [1.0, 0.0], [0.0, 1.0]
+    summaries = [(i, "dates_summary", f"alike {i}", near) for i in range(1, 7)] + [(7, "subject_names_summary", "alike 7", near), (8, "dates_summary", "alike 8", far)]
+    summaries = spark.createDataFrame(summaries, "id long, type string, summary string, vector array<double>")
+
+    def model():
+        def answer(prompt):
+            if "alike 3" in prompt and "alike 4" in prompt:
+                return '{"similarity": 1.0}'
+            if "alike 5" in prompt and "alike 6" in prompt:
+                raise AssertionError("blocked pairs are not asked about")
+            return "no idea" if "alike 1" in prompt else "0.5"
+
+        return answer
+
+    rules = clustering.Rules(tiers=(1, 2, 3))
+    found = lambda *a: {(r.src, r.dst, r.tier, r.match_type) for r in clustering.match_edges(docs, *a).collect()}
+    first = (1, 2, 1, "case_id_only")
+    assert found(rules, summaries, model) == {first, (3, 4, 3, "llm_summary_comparison")}
+    assert found(rules, summaries) == found(rules) == found() == {first}
+    yes = lambda: lambda prompt: "1.0"
+    every = {(r[0], r[1]) for r in found(rules, summaries, yes)}
+    assert every == {p for p in itertools.combinations(range(1, 7), 2)} - {(a, b) for a, b in itertools.combinations(range(1, 7), 2) if ids[a] and ids[b] and ids[a] != ids[b]}
+    assert {r[:2] for r in found(clustering.Rules(tiers=(3,)), summaries, yes)} == set(itertools.combinations(range(1, 7), 2))
+
+
+def test_singletons_are_merged_where_approved(spark):
+    paths = {1: "a/b/1", 2: "a/b/2", 3: "a/c/3", 4: "a/c/4", 5: "a/c/5", 6: "6", 7: "7"}
+    docs = spark.createDataFrame([(i, p, *([[]] * 7)) for i, p in paths.items()], CASES)
+    clusters = spark.createDataFrame([(i, 4 if i == 5 else i) for i in paths], "id long, cluster long")
+    model = lambda: lambda prompt: "1.0" if "a/b/1\na/b/2" in prompt else "0.0"
+    merged = {r.id: r.cluster for r in clustering.singletons_merged(clusters, docs, provider=model).collect()}
+    assert merged == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7}
+    assert {r.id: r.cluster for r in clustering.singletons_merged(clusters, docs).collect()} == {r.id: r.cluster for r in clusters.collect()}
