@@ -30,6 +30,9 @@ CHANCE = 0.05
 MIN_EXAMPLES = 4
 #: And if it is so many times as frequent in toxic examples as in others at least.
 MIN_LIFT = 4.0
+#: Examples of one label with so large a share of their word pairs in common (Jaccard) count once.
+ALIKE = 0.8
+KIN_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 PREFIXES = (4, 5, 7)
 HELD_OUT_OF = 5
 WORD = re.compile(r"\w+")
@@ -45,10 +48,16 @@ def spread(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
 
 
-def kin(words: list[str]) -> int:
-    """Least hash of a text's word pairs: nearly always the same for near copies, seldom for other texts."""
+def word_pairs(words: list[str]) -> set[int]:
+    """Hashes of a text's word pairs; of its one word if there is no pair."""
     pairs = {f"{a} {b}" for a, b in zip(words, words[1:])} or {" ".join(words)}
-    return min(xxhash.xxh64_intdigest(p, 7) for p in pairs) >> 1
+    return {xxhash.xxh64_intdigest(p, 7) for p in pairs}
+
+
+def kins(pairs: set[int]) -> list[int]:
+    """Least hashes of word pairs, one for each of KIN_SEEDS orders: near copies share most of them."""
+    h = np.fromiter(pairs, dtype=np.uint64, count=len(pairs))
+    return [int(((h ^ (h >> np.uint64(29))) * np.uint64(m)).min() >> np.uint64(1)) for m in KIN_SEEDS]
 
 
 @dataclass
@@ -183,13 +192,30 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", allowed=Non
 
     def mark(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([kin(terms(x.decode("utf-8", "replace"))) for x in b.column(2).to_pylist()], pa.int64())], ["doc_id", "label", "body", "kin"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([kins(word_pairs(terms(x.decode("utf-8", "replace")))) for x in b.column(2).to_pylist()], pa.list_(pa.int64()))], ["doc_id", "label", "body", "kin"])
+
+    def alike(batches):
+        for b in batches:
+            out, last = [], (None, None)
+            for d, body, other in zip(*(c.to_pylist() for c in b.columns)):
+                if last[0] != other:
+                    last = other, word_pairs(terms(other.decode("utf-8", "replace")))
+                x = word_pairs(terms(body.decode("utf-8", "replace")))
+                if len(x & last[1]) >= ALIKE * len(x | last[1]):
+                    out.append(d)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["doc_id"])
 
     examples = id_and_bytes(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select("doc_id", "label", "body")
-    examples = materialize(examples.mapInArrow(mark, "doc_id long, label int, body binary, kin long"), "examples")
-    # Near copies would make all their words look tied to their label, so terms are counted in one of them.
-    leads = examples.groupBy("kin").agg(F.min("doc_id").alias("lead"))
-    single = examples.join(leads, "kin").where("doc_id = lead").select("doc_id", "label", "body")
+    examples = materialize(examples.mapInArrow(mark, "doc_id long, label int, body binary, kin array<long>"), "examples")
+    # Near copies would make all their words look tied to their label, so terms are counted in one of them: an example
+    # goes if it is alike to the first of its label that shares a least hash, which stays or is alike to an earlier one.
+    each = examples.select("doc_id", "label", F.posexplode("kin").alias("seed", "kin"))
+    leads = each.groupBy("label", "seed", "kin").agg(F.min("doc_id").alias("lead"))
+    meet = each.join(leads, ["label", "seed", "kin"]).where("doc_id > lead").select("doc_id", "lead").distinct()
+    bodies = examples.select("doc_id", "body").groupBy("doc_id").agg(F.min("body").alias("body"))
+    meet = meet.join(bodies, "doc_id").join(bodies.select(F.col("doc_id").alias("lead"), F.col("body").alias("other")), "lead").select("doc_id", "body", "other")
+    copies = materialize(meet.mapInArrow(alike, "doc_id long").distinct(), "copies")
+    single = examples.join(F.broadcast(copies), "doc_id", "left_anti").select("doc_id", "label", "body")
 
     def count(batches):
         for b in batches:

@@ -72,3 +72,19 @@ def test_empty_tables(spark):
     d, marks = spark.createDataFrame(docs, DOC), spark.createDataFrame(labels, LABEL)
     assert T.assess(d.limit(0), marks).collect() == []
     assert {r.score for r in T.assess(d, marks.limit(0)).collect()} == {0.5}
+
+
+def test_a_common_passage_makes_no_copies(spark):
+    rng = random.Random(8)
+    passage = " ".join(f"pass{k}" for k in range(80))
+    docs, labels = [], []
+    for i in range(160):
+        own = [f"own{rng.randrange(400)}" for _ in range(20)]
+        docs.append((i, " ".join([*own, passage, *(["wutwort"] if i % 16 == 0 else [])])))
+        labels.append((i, 1, int(i % 16 == 0)))
+    copy = " ".join(f"copied{k}" for k in range(60))
+    for i in range(160, 200):
+        docs.append((i, f"{copy} end{i}"))
+        labels.append((i, 1, 1))
+    model = T.train(spark.createDataFrame(docs, DOC), spark.createDataFrame(labels, LABEL))
+    assert "wutwort" in model.index.vocabulary and not any(t.startswith("copied") for t in model.index.vocabulary)
