@@ -199,10 +199,11 @@ def extract_text(page: str, weights: Weights) -> str:
     return "\n".join(x for x in lines if x)
 
 
-def fit(pages: DataFrame, html_col: str = "html", limit: int = LABELLED_PAGES) -> Weights:
+def fit(pages: DataFrame, html_col: str = "html", limit: int = LABELLED_PAGES, id_col: str = "page_id") -> Weights:
     """Count words and tags in and out of the content of at most ``limit`` labelled pages, on the executors."""
-    labelled = pages.select(F.col(html_col).alias("html")).where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
-    sample = by_hash(labelled, F.xxhash64("html"), pages.count(), limit)
+    labelled = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
+    # The hash has the id too, so copies of a page do not stand or fall together.
+    sample = by_hash(labelled, F.xxhash64("id", "html"), labelled.count(), limit).select("html")
 
     def run(batches):
         for b in batches:
@@ -231,7 +232,7 @@ def extract(pages: DataFrame, weights: Weights | None = None, id_col: str = "pag
     stay as they are; broken markup is read as far as it goes; an empty table gives an empty result; other columns are
     ignored.
     """
-    held = pages.sparkSession.sparkContext.broadcast(weights or fit(pages, html_col))
+    held = pages.sparkSession.sparkContext.broadcast(weights or fit(pages, html_col, id_col=id_col))
 
     def run(batches):
         for b in batches:

@@ -43,3 +43,16 @@ def test_learnt_weights_have_their_signs():
     counts = {("word", "p", True): 900, ("word", "p", False): 10, ("word", "li a", False): 50, ("tag", "p", True): 50, ("tag", "li", False): 40}
     w = H.learn(counts)
     assert w.words["p"] > 0 and w.words["li a"] == 0 and w.tags["li"] < 0 and w.tags["p"] == 0
+
+
+def test_sample_is_of_the_labelled_pages(spark, monkeypatch):
+    plain = [(i, f"<p>plain {i}</p>") for i in range(3_000)]
+    labelled = [(4_000 + i, f"<article><p>words of page</p></article><nav><p>n{i}</p></nav>") for i in range(30)]
+    copies = [(5_000 + i, "<main><section><p>one copy</p></section></main>") for i in range(30)]
+    df = spark.createDataFrame(plain + labelled + copies, "page_id long, html string")
+    seen = []
+    monkeypatch.setattr(H, "learn", lambda counts: seen.append(counts) or H.Weights())
+    H.fit(df, limit=20)
+    n = sum(k for (kind, name, inside), k in seen[0].items() if kind == "word" and inside)
+    in_labelled, in_copies = 3, 2
+    assert any(in_labelled * (20 - c) + in_copies * c == n for c in range(1, 20))
