@@ -43,13 +43,14 @@ def test_every_similar_pair_shares_a_key(edits):
         b = edited(a, rng, rng.randrange(edits + 1))
         if len(b) <= edits:
             continue
-        keys = [{r: {k for role, k, *_ in L.entries(x, edits, edits + 1) if role == r} for r in (L.INDEX, L.PROBE)} for x in (a, b)]
+        each = [L.entries([x], edits, 1) for x in (a, b)]
+        keys = [{r: set(key[role == r].tolist()) for r in (L.INDEX, L.PROBE)} for _, role, key, *_ in each]
         assert keys[0][L.INDEX] & keys[1][L.PROBE] or keys[1][L.INDEX] & keys[0][L.PROBE]
 
 
-def brute(docs, least=L.MIN_CHARS, edits=L.EDITS):
+def brute(docs, per_edit=L.PER_EDIT, edits=L.EDITS):
     """Texts without repeated lines, from all pairs of lines."""
-    at = [((d is None, d or 0), t, nr, x, d) for d, t in dict.fromkeys(docs) if t is not None for nr, x in enumerate(t.split("\n")) if len(x.encode().split()) >= L.MIN_WORDS]
+    at = [((d is None, d or 0), t, nr, x, d) for d, t in dict.fromkeys(docs) if t is not None for nr, x in enumerate(t.split("\n")) if x.encode().split()]
     lines = sorted({x for *_, x, _ in at})
     root = {x: x for x in lines}
 
@@ -59,7 +60,8 @@ def brute(docs, least=L.MIN_CHARS, edits=L.EDITS):
         return x
 
     for a, b in itertools.combinations(lines, 2):
-        if min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
+        e = min(edits, min(len(a), len(b)) // per_edit)
+        if e and abs(len(a) - len(b)) <= e and distance(a, b) <= e:
             root[find(a)] = find(b)
     classes = defaultdict(list)
     for order, t, nr, x, d in at:
@@ -106,16 +108,32 @@ def test_matches_brute_force(spark, seed):
     assert run(spark, []) == []
 
 
-@pytest.mark.parametrize("group", [4, 60, L.GROUP])
-def test_frequent_segments_lose_no_link(spark, group):
+def test_entries_are_those_of_the_plain_rules():
+    rng = random.Random(3)
+    lines = ["".join(rng.choices("abé\U0001f600 ", k=rng.randrange(1, 90))) for _ in range(200)]
+    which, role, _, start, size, more = L.entries(lines, 2, 20)
+    got = sorted(zip(which.tolist(), role.tolist(), start.tolist(), size.tolist(), more.tolist()))
+    want = []
+    for i, n in enumerate(map(len, lines)):
+        e = L.budget(n, 2, 20)
+        want += [(i, L.INDEX, at, size, 0) for at, size in (L.segments(n, e) if e else [])]
+        for indexed in range(n - 2, n + 1):
+            if (e := L.budget(indexed, 2, 20)) and n - indexed <= e:
+                want += [(i, L.PROBE, at, size, n - indexed) for _, at, size in L.windows(n, indexed, e)]
+    assert got == sorted(want)
+
+
+@pytest.mark.parametrize("per_line, group", [(0, 4), (0, 60), (4, 9), (0, L.GROUP), (L.PAIRS_PER_LINE, L.GROUP)])
+def test_frequent_segments_lose_no_link(spark, per_line, group):
     rng = random.Random(5)
     stem, tail = "a common beginning of very many of these lines, ", " and a common end of them all"
     docs = [(i, stem + "".join(rng.choices("xyz", k=rng.randrange(6, 40))) + tail) for i in range(90)]
     docs += [(200 + i, edited(rng.choice(docs)[1], rng, 2)) for i in range(60)]
     df = spark.createDataFrame(docs, ROWS)
     text = F.coalesce(F.col("text"), F.lit(""))
-    want = {tuple(sorted((L_hash(a), L_hash(b)))) for (_, a), (_, b) in itertools.combinations(docs, 2) if a != b and abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2}
-    got = {tuple(sorted((r.u, r.v))) for r in L.similar_lines(df, text, group=group).collect()}
+    near = lambda a, b: a != b and abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2
+    want = {tuple(sorted((L_hash(a), L_hash(b)))) for (_, a), (_, b) in itertools.combinations(docs, 2) if near(a, b)}
+    got = {tuple(sorted((r.u, r.v))) for r in L.similar_lines(df, text, per_line=per_line, group=group)[0].collect()}
     assert got <= want and components(got) == components(want) and len(want) > 30
 
 
@@ -133,3 +151,38 @@ def test_lines_of_few_words_repeat(spark):
     url = "https://example.org/a/path/of/some/length?key=0123456789abcdef"
     docs = [(1, f"All rights reserved.\n\n{chinese}\nok"), (2, f"All rights reserved.\n\n \t\n{url}\nother"), (3, f"ok\n{chinese[:-1]}x\n\n{url[:-1]}e\n \t"), (4, "okay\nOK")]
     assert run(spark, docs) == [(1, docs[0][1]), (2, f"\n \t\n{url}\nother"), (3, "\n \t"), (4, "okay\nOK")]
+
+
+def test_links_of_a_group_of_copies_are_few(spark):
+    rng = random.Random(8)
+    base = "one line of which there are very many slightly different copies in the corpus"
+    docs = [(i, edited(base, rng, 2)) for i in range(1500)] + [(2000 + i, f"common beginning of lines that differ, number {i:05d} " + str(rng.random())) for i in range(1500)]
+    links = L.similar_lines(spark.createDataFrame(docs, ROWS), F.col("text"))[0]
+    got = {(r.u, r.v) for r in links.collect()}
+    lines = {t for _, t in docs}
+    assert len(got) <= 15 * len(lines)
+    assert max(map(len, components(got))) == len({t for i, t in docs if i < 2000})
+
+
+def test_a_group_that_no_segment_divides(spark):
+    docs = [(i, "a beginning that is common to all of them " + f"{i:03d}") for i in range(300)]
+    df = spark.createDataFrame(docs, ROWS)
+    for group in (7, 50):
+        got = {(r.u, r.v) for r in L.similar_lines(df, F.col("text"), per_line=0, group=group)[0].collect()}
+        assert len(components(got)) == 1 and len(next(iter(components(got)))) == 300
+
+
+def test_lines_by_length(spark):
+    docs = [(1, "Item 1\nof nineteen letters"), (2, "Item 2\nof nineteen lettera"), (3, "one of twenty letters 1\nItem 1"), (4, "one of twenty letters 2"), (5, "one of twenty letterz 3")]
+    assert run(spark, docs) == [(1, docs[0][1]), (2, docs[1][1]), (3, "one of twenty letters 1"), (4, ""), (5, docs[4][1])] == brute(docs)
+
+
+def test_text_of_very_many_lines(spark):
+    import time
+
+    line = lambda i: f"line {i} of a text that another document has as well {i * i}"
+    body = "\n".join(map(line, range(16_000)))
+    df = spark.createDataFrame([(1, body), (2, "a line of its own\n" + body)], ROWS)
+    began = time.perf_counter()
+    got = {r.doc_id: r.text for r in L.dedup_lines(df).collect()}
+    assert got[1].startswith(line(0)) and got[2] == "a line of its own" and time.perf_counter() - began < 60
