@@ -142,10 +142,11 @@ def within(a: str, b: str, edits: int = EDITS) -> bool:
     if a == b:
         return True
     lo, top = 0, min(len(a), len(b))
-    while lo + 64 <= top and a[lo : lo + 64] == b[lo : lo + 64]:
-        lo += 64
-    while lo < top and a[lo] == b[lo]:
-        lo += 1
+    for step in (64, 8, 1):
+        while lo + step <= top and a[lo : lo + step] == b[lo : lo + step]:
+            lo += step
+    if a[lo + edits :] == b[lo + edits :] and len(a) == len(b):
+        return True
     m, n = len(a) - lo, len(b) - lo
     width = (1 << (2 * edits + 1)) - 1
     state = [((1 << (d + 1)) - 1) << edits for d in range(edits + 1)]
@@ -332,9 +333,9 @@ def solve(index: list, probes: list, edits: int, find, union) -> None:
     if len({find(x[0]) for x in index} | {find(x[0]) for x in probes}) < 2:
         return
     if len(index) * len(probes) > OUTRIGHT:
-        lead, text, _ = index[0]
-        for line, other, _ in probes:
-            if find(line) != find(lead) and within(text, other, edits):
+        lead, text, rest = index[0]
+        for line, other, its in probes:
+            if find(line) != find(lead) and within(rest, its, edits) and within(text, other, edits):
                 union(line, lead)
         if len({find(x[0]) for x in index} | {find(x[0]) for x in probes}) < 2:
             return
@@ -357,10 +358,12 @@ def solve(index: list, probes: list, edits: int, find, union) -> None:
                 if others:
                     solve(some, others, edits, find, union)
             return
-    for line, text, _ in probes:
-        for other, its, _ in index:
-            if find(line) != find(other) and within(its, text, edits):
+    for line, text, rest in probes:
+        at = find(line)
+        for other, its, left in index:
+            if at != find(other) and within(left, rest, edits) and within(its, text, edits):
                 union(line, other)
+                at = find(line)
 
 
 def affixes(least: str, most: str, least_back: str, most_back: str, shortest: int) -> tuple[int, int]:
