@@ -310,7 +310,8 @@ def similar_lines(docs: DataFrame, text: Column, edits: int = EDITS, per_edit: i
     pairs = materialize(met.where("kind = 0").select("a", "b").distinct(), "pairs")
     lines = corpus_lines(docs, text).where(F.length("body") >= per_edit).select("line", "body")
     wanted = materialize(pairs.select(F.col("a").alias("want")).union(pairs.select("b")).union(met.where("kind > 0").select("a")).distinct(), "wanted")
-    bodies = materialize(lines.join(wanted, lines["line"] == wanted["want"]).groupBy("line").agg(F.first("body").alias("body")), "bodies")
+    # A merge join at every size: what is wanted grows with the corpus, so a broadcast of it would only do while it is small.
+    bodies = materialize(lines.join(wanted.hint("merge"), lines["line"] == wanted["want"]).groupBy("line").agg(F.first("body").alias("body")), "bodies")
     first, second = bodies.withColumnsRenamed({"line": "a", "body": "one"}), bodies.withColumnsRenamed({"line": "b", "body": "two"})
     both = pairs.join(first, "a").join(second, "b").select(F.col("a").alias("u"), F.col("b").alias("v"), "one", "two")
     found = both.mapInArrow(_verify(edits, per_edit), LINKS)
