@@ -14,8 +14,8 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
 
 
-#: Edges of one task and file of a round.
-EDGES_PER_FILE = 500_000
+#: Edges whose forest one task finds, and that one file of a round holds.
+EDGES_PER_TASK = 200_000
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -31,11 +31,8 @@ def _small_star(e: DataFrame) -> DataFrame:
     return kept.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-#: Edges up to which one task finds the components; the table is counted first, and rounds follow beyond.
-ONE_TASK_EDGES = 200_000
-
-
-def _one_task(batches):
+def _forest(batches):
+    """Task: of its edges as many as join the same nodes, each from a node to the least one that it reaches here."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -47,33 +44,36 @@ def _one_task(batches):
         for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             a, c = find(u), find(v)
             root[max(a, c)] = min(a, c)
-    nodes = list(root)
-    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], ["node", "root"])
+    tree = [(x, r) for x in list(root) if (r := find(x)) != x]
+    yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in tree], pa.int64()) for k in (0, 1)], ["u", "v"])
 
 
-def star_components(edges: DataFrame, rounds: int = 60, one_task: int = ONE_TASK_EDGES) -> DataFrame:
+def star_components(edges: DataFrame, rounds: int = 60, per_task: int = EDGES_PER_TASK) -> DataFrame:
     """``node, root`` for every node of ``edges`` (``u, v``) with an edge to another; the root is its component's least.
 
-    Up to ``one_task`` edges (counted) are joined in one task, which spares the rounds' many small files. Beyond,
-    alternating large-star and small-star rounds: each is a minimum per node and a join, both on the node, so a node with
-    very many edges is combined map-side and its join can be split; no neighbour list is ever gathered. Each round is
-    written. An empty edge table gives an empty result; self-loops are ignored.
+    Each round deals the edges evenly to tasks of ``per_task`` edges, each of which leaves a forest of them. If one task
+    is enough, its forest is the result. Else a large star and a small star follow: each is a minimum per node and a
+    join, both on the node, so a node with very many edges is combined map-side and its join can be split; no neighbour
+    list is ever gathered. What a round leaves is written, in as many files as it has tasks. An empty edge table gives
+    an empty result; self-loops are ignored.
     """
-    now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    if one_task and now.count() <= one_task:
-        return written(now.select(F.col("u").cast("long"), F.col("v").cast("long")).coalesce(1).mapInArrow(_one_task, "node long, root long"), "roots")
+    pairs = edges.where("u <> v").select(F.greatest("u", "v").cast("long").alias("u"), F.least("u", "v").cast("long").alias("v"))
+    now = written(pairs.distinct(), "edges")
     seen = None
     for _ in range(rounds):
-        mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if mark == seen or mark[0] == 0:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        tasks = 1 + now.count() // per_task
+        dealt = now.coalesce(1) if tasks == 1 else now.repartition(tasks, F.xxhash64("u", "v"))
+        forest = written(dealt.mapInArrow(_forest, "u long, v long"), "forest")
+        discard(now)
+        mark = tuple(forest.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if tasks == 1 or mark == seen:
+            named = forest.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            return named.unionByName(forest.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         seen = mark
-        few = 1 + mark[0] // EDGES_PER_FILE  # a round makes no more edges than twice those before it
-        large = written(_large_star(now).coalesce(few), "large")
-        after = written(_small_star(large).coalesce(few), "small")
+        large = written(_large_star(forest).coalesce(tasks), "large")
+        discard(forest)
+        now = written(_small_star(large).coalesce(tasks), "small")
         discard(large)
-        discard(now)
-        now = after
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder of ``spark.checkpoint.dir``; a temporary one only in local mode, where executors see the driver's folders."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="docketlab-"))
         base = spark.sparkContext.getCheckpointDir()

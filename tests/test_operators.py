@@ -59,7 +59,7 @@ def test_components(spark, seed):
     got = graph.components(v, spark.createDataFrame(edges, "src long, dst long"))
     assert {r.id: r.component for r in got.collect()} == dict(enumerate(label))
     pairs = spark.createDataFrame(edges, "u long, v long")
-    by_rounds, at_once = ({r.node: r.root for r in graph.star_components(pairs, one_task=k).collect()} for k in (0, 1000))
+    by_rounds, at_once = ({r.node: r.root for r in graph.star_components(pairs, per_task=k).collect()} for k in (20, 1000))
     assert by_rounds == at_once == {i: label[i] for i in {x for u, v in edges if u != v for x in (u, v)}}
 
 
