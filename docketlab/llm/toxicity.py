@@ -1,9 +1,11 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and word beginnings whose tie to the label is beyond chance among the labelled examples. The examples
-form an inverted index whose postings also keep, for each term and block of examples, the largest weight. A text's best
-examples come from the blocks in order of their bound, until no block left can better the worst of the best. Neighbours
-vote by their cosine; the share of toxic votes is calibrated by what such shares meant for the examples themselves.
+Vectors are over all words of the labelled examples. A word's weight is its TF-IDF, lifted where its tie to the label is
+far beyond chance: no word is left out for its label, but words that tell the classes apart decide which examples are
+near. The index keeps for each term its postings, or, if it is frequent, its weights by blocks of examples with their
+largest. A text's rare terms are added up first; of its frequent terms only the blocks are scored whose bound could
+still better the worst of the best. Neighbours of both classes vote by their cosine; the share of toxic votes is
+calibrated by what such shares meant for the examples themselves.
 """
 
 from __future__ import annotations
@@ -22,20 +24,23 @@ from .common import id_and_bytes, materialize, text_hash
 from .labelled import fold, label_sample
 
 #: Labelled examples of each class at most; all others of the labelled rows only count as how many there are.
-PER_CLASS = 10_000
+PER_CLASS = 4_000
 NEIGHBOURS = 9
 BLOCK = 64
-#: A term is used if the chance of its ties to the label, times the terms as frequent, is below this.
-CHANCE = 0.05
-MIN_EXAMPLES = 4
-#: And if it is so many times as frequent in toxic examples as in others at least.
-MIN_LIFT = 4.0
+#: Blocks scored before the bound is looked at again.
+STEP = 16
+#: Terms in more than one of so many examples are kept by blocks.
+FREQUENT = 16
+#: Standard errors by which a term's log odds must differ from even before it is lifted, and the weight of all others.
+SURE = 4.0
+PLAIN = 0.1
 #: Examples of one label with so large a share of their word pairs in common (Jaccard) count once.
 ALIKE = 0.8
 KIN_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
-PREFIXES = (4, 5, 7)
 HELD_OUT_OF = 5
 WORD = re.compile(r"\w+")
+#: Cosines this close are equal; of equally near examples the one of least id is taken first.
+TIE = 1e-6
 
 
 def terms(text: str) -> list[str]:
@@ -43,11 +48,6 @@ def terms(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def spread(word: str) -> list[str]:
-    """The terms that a word stands for: itself and its beginnings."""
-    return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
-
-
 def word_pairs(words: list[str]) -> set[int]:
     """Hashes of a text's word pairs; of its one word if there is no pair."""
     pairs = {f"{a} {b}" for a, b in zip(words, words[1:])} or {" ".join(words)}
@@ -60,72 +60,98 @@ def kins(pairs: set[int]) -> list[int]:
     return [int(((h ^ (h >> np.uint64(29))) * np.uint64(m)).min() >> np.uint64(1)) for m in KIN_SEEDS]
 
 
+def lift(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int) -> np.ndarray:
+    """Factors of terms that occur in so many examples of either class: PLAIN, and more if the log odds are surely not even."""
+    a, b = pos + 0.5, neg + 0.5
+    odds = np.log(a / (n_pos - pos + 0.5)) - np.log(b / (n_neg - neg + 0.5))
+    return PLAIN + np.maximum(0.0, np.abs(odds) / np.sqrt(1 / a + 1 / b) - SURE) * (n_pos > 0) * (n_neg > 0)
+
+
+def vector(words: list[str], vocabulary: dict[str, int], factor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms and weights of a text's unit vector (weights 1 + ln tf, times idf, lifted)."""
+    get = vocabulary.get
+    tf = [(k, n) for w, n in Counter(words).items() if (k := get(w)) is not None]
+    if not tf:
+        return np.zeros(0, np.int64), np.zeros(0)
+    tf.sort()
+    at = np.array([k for k, _ in tf], dtype=np.int64)
+    w = (1 + np.log(np.array([n for _, n in tf], dtype=float))) * factor[at]
+    return at, w / np.sqrt((w * w).sum())
+
+
 @dataclass
 class Index:
-    """Examples as unit TF-IDF vectors, in blocks of alike ones.
+    """Examples as unit vectors, numbered by blocks.
 
-    ``bound[t, b]`` is the largest weight of term t in block b; a block has the terms that occur in it and, for each, its
-    examples' weights.
+    Rare terms have postings ``example, weight`` from ``start[t]`` to ``start[t + 1]``. Frequent ones have a row
+    ``row[t]`` (else -1): ``dense[b, row]`` are the weights in block b, ``bound[row, b]`` the largest of them.
     """
 
     vocabulary: dict[str, int]
-    idf: np.ndarray
+    factor: np.ndarray
+    start: np.ndarray
+    example: np.ndarray
+    weight: np.ndarray
+    row: np.ndarray
+    dense: np.ndarray
     bound: np.ndarray
-    blocks: list[tuple[np.ndarray, np.ndarray]]
     ids: np.ndarray
     label: np.ndarray
 
 
-def vector(words: list[str], vocabulary: dict[str, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms and weights of a text's unit TF-IDF vector (weights 1 + ln tf, times idf)."""
-    get, tf = vocabulary.get, {}
-    for w, n in Counter(words).items():
-        for t in spread(w):
-            if (k := get(t)) is not None:
-                tf[k] = tf.get(k, 0) + n
-    if not tf:
-        return np.zeros(0, np.int64), np.zeros(0)
-    at = np.array(sorted(tf), dtype=np.int64)
-    w = (1 + np.log(np.array([tf[k] for k in at.tolist()], dtype=float))) * idf[at]
-    return at, w / np.sqrt((w * w).sum())
-
-
-def build(vectors: list[tuple[np.ndarray, np.ndarray]], ids, label, vocabulary, idf) -> Index:
-    blocks, bound = [], np.zeros((len(vocabulary), -(-len(vectors) // BLOCK)))
-    for b in range(bound.shape[1]):
-        some = vectors[b * BLOCK : (b + 1) * BLOCK]
-        at = np.unique(np.concatenate([v[0] for v in some]))
-        weights = np.zeros((len(at), len(some)))
-        for k, (t, w) in enumerate(some):
-            weights[np.searchsorted(at, t), k] = w
-        blocks.append((at, weights))
-        bound[at, b] = weights.max(axis=1)
-    return Index(vocabulary, idf, bound, blocks, np.asarray(ids), np.asarray(label))
+def build(vectors: list[tuple[np.ndarray, np.ndarray]], ids, label, vocabulary, factor) -> Index:
+    n, size = len(vectors), len(vocabulary)
+    blocks = -(-n // BLOCK)
+    at = np.concatenate([v[0] for v in vectors]) if n else np.zeros(0, np.int64)
+    weight = np.concatenate([v[1] for v in vectors]) if n else np.zeros(0)
+    who = np.repeat(np.arange(n), [len(v[0]) for v in vectors])
+    df = np.bincount(at, minlength=size)
+    row = np.full(size, -1, np.int64)
+    often = np.flatnonzero(df * FREQUENT > n)
+    row[often] = np.arange(len(often))
+    dense = np.zeros((blocks, len(often), BLOCK), np.float32)
+    many = row[at] >= 0
+    dense[who[many] // BLOCK, row[at[many]], who[many] % BLOCK] = weight[many]
+    order = np.lexsort((who[~many], at[~many]))
+    start = np.concatenate(([0], np.cumsum(np.bincount(at[~many], minlength=size))))
+    return Index(
+        vocabulary, factor, start, who[~many][order].astype(np.int32), weight[~many][order].astype(np.float32), row, dense,
+        np.ascontiguousarray(dense.max(axis=2, initial=0).T), np.asarray(ids, dtype=np.int64), np.asarray(label, dtype=np.int64),
+    )
 
 
 def nearest(index: Index, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-    """The k examples of largest positive cosine, and the cosines; ``skip`` is left out.
-
-    Blocks are scored in order of their bounds, until the next can better none of the best; which of equally near
-    examples are taken depends on that order alone.
-    """
-    best, cosine = np.zeros(0, np.int64), np.zeros(0)
-    if not len(at) or not index.blocks:
-        return best, cosine
-    bounds = w @ index.bound[at]
-    for b in np.argsort(-bounds, kind="stable").tolist():
-        if bounds[b] <= 0 or len(best) == k and bounds[b] <= cosine[-1] + 1e-12:
+    """The k examples of largest positive cosine, and the cosines; example ``skip`` is left out."""
+    n, blocks = len(index.ids), len(index.dense)
+    if not len(at) or not n:
+        return np.zeros(0, np.int64), np.zeros(0)
+    row = index.row[at]
+    rare, often = at[row < 0], row[row >= 0]
+    lo, size = index.start[rare], index.start[rare + 1] - index.start[rare]
+    where = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+    sums = np.bincount(index.example[where], weights=index.weight[where] * np.repeat(w[row < 0], size), minlength=blocks * BLOCK)
+    sums = sums.astype(float).reshape(blocks, BLOCK)
+    if skip >= 0:
+        sums[skip // BLOCK, skip % BLOCK] = -np.inf
+    mine = w[row >= 0].astype(np.float32)
+    bounds = np.maximum(sums.max(axis=1), 0) + mine @ index.bound[often]
+    order, floor = np.argsort(-bounds, kind="stable"), 0.0
+    found, cosine = np.zeros(0, np.int64), np.zeros(0)
+    for s in range(0, blocks, STEP):
+        some = order[s : s + STEP]
+        some = some[bounds[some] > floor - 2 * TIE]
+        if not len(some):
             break
-        there, weights = index.blocks[b]
-        where = np.minimum(np.searchsorted(there, at), len(there) - 1)
-        hit = there[where] == at
-        score = w[hit] @ weights[where[hit]]
-        found = np.flatnonzero(score > 0)
-        found = found[found + b * BLOCK != skip]
-        best, cosine = np.concatenate([best, found + b * BLOCK]), np.concatenate([cosine, score[found]])
-        top = np.argsort(-np.round(cosine, 12), kind="stable")[:k]
-        best, cosine = best[top], cosine[top]
-    return best, cosine
+        score = sums[some] + np.einsum("t,btk->bk", mine, index.dense[some[:, None], often[None, :]])
+        b, j = np.nonzero(score > max(TIE, floor - 2 * TIE))
+        found = np.concatenate([found, some[b] * BLOCK + j])
+        cosine = np.concatenate([cosine, score[b, j]])
+        if len(cosine) >= k:
+            floor = np.partition(cosine, len(cosine) - k)[len(cosine) - k]
+            near = cosine > floor - 2 * TIE
+            found, cosine = found[near], cosine[near]
+    top = np.lexsort((index.ids[found], -np.round(cosine / TIE)))[:k]
+    return found[top], cosine[top]
 
 
 def vote(index: Index, best: np.ndarray, cosine: np.ndarray) -> float:
@@ -133,36 +159,20 @@ def vote(index: Index, best: np.ndarray, cosine: np.ndarray) -> float:
     return float((cosine * index.label[best]).sum() / cosine.sum()) if len(best) else -1.0
 
 
-def significant(df: dict[str, tuple[int, int]], n_pos: int, n_neg: int) -> list[str]:
-    """Terms (with their examples of either class) that occur in toxic examples beyond chance."""
-    p = n_pos / max(1, n_pos + n_neg)
-    if not 0 < p < 1:
-        return []
-    total = np.array([a + b for a, b in df.values()], dtype=np.int64)
-    at_least = np.cumsum(np.bincount(total)[::-1])[::-1] if len(total) else []
-    out = []
-    for t, (a, b) in df.items():
-        n, lift = a + b, a / (a + b)
-        if lift <= p or (a + 0.5) * n_neg < MIN_LIFT * (b + 0.5) * n_pos:
-            continue
-        # Bound on the chance of so many toxic examples among n (Chernoff).
-        log_chance = -n * (lift * math.log(lift / p) + ((1 - lift) * math.log((1 - lift) / (1 - p)) if lift < 1 else 0))
-        if log_chance + math.log(at_least[n]) < math.log(CHANCE):
-            out.append(t)
-    return sorted(out)
-
-
 def calibrate(shares: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Non-decreasing steps (share from, score) by pooled adjacent violators; each step is smoothed by one example at even odds."""
+    """Points (share, score) of a non-decreasing line, by pooled adjacent violators; each pool is smoothed by one example at even odds.
+
+    A pool is two points, its least and its largest share.
+    """
     order = np.argsort(shares, kind="stable")
-    pools: list[list[float]] = []  # share from, weight, toxic weight
+    pools: list[list[float]] = []  # share from, share to, weight, toxic weight
     for s, y, w in zip(shares[order], label[order], weight[order]):
-        pools.append([s, w, w * y])
-        while len(pools) > 1 and (pools[-2][0] == pools[-1][0] or pools[-2][2] * pools[-1][1] >= pools[-1][2] * pools[-2][1]):
+        pools.append([s, s, w, w * y])
+        while len(pools) > 1 and (pools[-2][1] == pools[-1][0] or pools[-2][3] * pools[-1][2] >= pools[-1][3] * pools[-2][2]):
             last = pools.pop()
-            pools[-1] = [pools[-1][0], pools[-1][1] + last[1], pools[-1][2] + last[2]]
-    score = np.array([(t + 0.5) / (w + 1) for _, w, t in pools])
-    return np.array([x[0] for x in pools]), np.maximum.accumulate(score) if len(score) else score
+            pools[-1] = [pools[-1][0], last[1], pools[-1][2] + last[2], pools[-1][3] + last[3]]
+    score = np.maximum.accumulate(np.array([(t + 0.5) / (w + 1) for _, _, w, t in pools])) if pools else np.zeros(0)
+    return np.array([x for p in pools for x in p[:2]]), np.repeat(score, 2)
 
 
 @dataclass
@@ -173,90 +183,122 @@ class Model:
     nothing: float  # score of a text without neighbours
 
     def score(self, words: list[str]) -> tuple[float, np.ndarray, np.ndarray]:
-        best, cosine = nearest(self.index, *vector(words, self.index.vocabulary, self.index.idf))
+        best, cosine = nearest(self.index, *vector(words, self.index.vocabulary, self.index.factor))
         share = vote(self.index, best, cosine)
         if share < 0:
             return self.nothing, best, cosine
-        k = np.searchsorted(self.steps, share, side="right") - 1
-        return float(self.scores[max(0, k)]) if len(self.scores) else self.nothing, best, cosine
+        return float(np.interp(share, self.steps, self.scores)) if len(self.scores) else self.nothing, best, cosine
 
 
-def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", allowed=None, per_class: int = PER_CLASS) -> Model:
-    """Learn from at most ``per_class`` labelled documents of each class (the sample's bound, whatever the corpus).
+def _words(body: bytes) -> list[str]:
+    return terms(body.decode("utf-8", "replace"))
+
 
-    The examples' terms are counted on the executors; only the significant terms and the examples' vectors over them
-    come to the driver.
+def single_examples(examples: DataFrame) -> DataFrame:
+    """``examples`` (``doc_id, label, body``) without those alike to an earlier one of their label.
+
+    Near copies would make all their words look tied to their label. An example goes if it is alike to the first of its
+    label that shares a least hash, which stays or is alike to an earlier one.
     """
-    sample, sizes = label_sample(labels, column, F.lit(True) if allowed is None else allowed, per_class)
-    sample = materialize(sample, "sample")  # at most 2 * per_class pairs of numbers
 
     def mark(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([kins(word_pairs(terms(x.decode("utf-8", "replace")))) for x in b.column(2).to_pylist()], pa.list_(pa.int64()))], ["doc_id", "label", "body", "kin"])
+            kin = [kins(word_pairs(_words(x))) for x in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(kin, pa.list_(pa.int64()))], ["doc_id", "label", "kin"])
 
     def alike(batches):
         for b in batches:
             out, last = [], (None, None)
             for d, body, other in zip(*(c.to_pylist() for c in b.columns)):
                 if last[0] != other:
-                    last = other, word_pairs(terms(other.decode("utf-8", "replace")))
-                x = word_pairs(terms(body.decode("utf-8", "replace")))
+                    last = other, word_pairs(_words(other))
+                x = word_pairs(_words(body))
                 if len(x & last[1]) >= ALIKE * len(x | last[1]):
                     out.append(d)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["doc_id"])
 
-    examples = id_and_bytes(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select("doc_id", "label", "body")
-    examples = materialize(examples.mapInArrow(mark, "doc_id long, label int, body binary, kin array<long>"), "examples")
-    # Near copies would make all their words look tied to their label, so terms are counted in one of them: an example
-    # goes if it is alike to the first of its label that shares a least hash, which stays or is alike to an earlier one.
-    each = examples.select("doc_id", "label", F.posexplode("kin").alias("seed", "kin"))
+    each = materialize(examples.mapInArrow(mark, "doc_id long, label int, kin array<long>"), "kin").select("doc_id", "label", F.posexplode("kin").alias("seed", "kin"))
     leads = each.groupBy("label", "seed", "kin").agg(F.min("doc_id").alias("lead"))
     meet = each.join(leads, ["label", "seed", "kin"]).where("doc_id > lead").select("doc_id", "lead").distinct()
-    bodies = examples.select("doc_id", "body").groupBy("doc_id").agg(F.min("body").alias("body"))
+    bodies = examples.select("doc_id", "body")
     meet = meet.join(bodies, "doc_id").join(bodies.select(F.col("doc_id").alias("lead"), F.col("body").alias("other")), "lead").select("doc_id", "body", "other")
     copies = materialize(meet.mapInArrow(alike, "doc_id long").distinct(), "copies")
-    single = examples.join(F.broadcast(copies), "doc_id", "left_anti").select("doc_id", "label", "body")
+    return examples.join(F.broadcast(copies), "doc_id", "left_anti").select("doc_id", "label", "body")  # fewer ids than the sample has
+
+
+def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", allowed=None, per_class: int = PER_CLASS) -> Model:
+    """Learn from at most ``per_class`` labelled documents of each class (the sample's bound, whatever the corpus).
+
+    An id that several rows of ``docs`` have is one example, by the least of their texts. The examples' terms are
+    counted, their vectors made and their own neighbours found on the executors; the driver holds the sample's terms
+    with their counts, the vectors, and a share of votes for each example.
+    """
+    sample, sizes = label_sample(labels, column, F.lit(True) if allowed is None else allowed, per_class)
+    sample = materialize(sample, "sample")  # at most 2 * per_class pairs of numbers
+    examples = id_and_bytes(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("id")).groupBy("doc_id").agg(F.max("label").alias("label"), F.min("body").alias("body"))
+    examples = materialize(examples, "examples")
+    single = single_examples(examples)
 
     def count(batches):
         for b in batches:
             seen = Counter()
             for label, body in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                for t in {t for w in set(terms(body.decode("utf-8", "replace"))) for t in spread(w)}:
+                for t in set(_words(body)):
                     seen[t, label] += 1
-            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in seen], pa.string()), pa.array([y for _, y in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())], ["term", "label", "n"])
+            columns = [pa.array([t for t, _ in seen], pa.string()), pa.array([y for _, y in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["term", "label", "n"])
 
     n = {r["label"]: r["count"] for r in examples.groupBy("label").count().collect()}
+    of = lambda k: F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0))
+    counted = materialize(examples.mapInArrow(count, "term string, label int, n long").groupBy("term").agg(F.sum("n").alias("n")), "terms")
+    alone = single.mapInArrow(count, "term string, label int, n long").groupBy("term").agg(of(1).alias("pos"), of(0).alias("neg"))
+    df = counted.join(alone, "term", "left").fillna(0, ["pos", "neg"]).toPandas().sort_values("term")
     n_single = {r["label"]: r["count"] for r in single.groupBy("label").count().collect()}
-    df = single.mapInArrow(count, "term string, label int, n long").groupBy("term").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("pos"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("neg"))
-    # A term in MIN_EXAMPLES examples or more: there are at most so many as the examples' terms by that number.
-    counted = {r["term"]: (r["pos"], r["neg"]) for r in df.where(F.col("pos") >= MIN_EXAMPLES).collect()}
-    chosen = significant(counted, n_single.get(1, 0), n_single.get(0, 0))
-    vocabulary = {t: k for k, t in enumerate(chosen)}
-    everything = sum(n_single.values())
-    idf = np.array([math.log((1 + everything) / (1 + sum(counted[t]))) + 1 for t in chosen])
-    held = docs.sparkSession.sparkContext.broadcast((vocabulary, idf))
+    vocabulary = {t: k for k, t in enumerate(df["term"].tolist())}
+    pos, neg = df["pos"].to_numpy(float), df["neg"].to_numpy(float)
+    idf = np.log((1 + sum(n_single.values())) / (1 + pos + neg)) + PLAIN
+    held = docs.sparkSession.sparkContext.broadcast((vocabulary, idf * lift(pos, neg, n_single.get(1, 0), n_single.get(0, 0))))
 
     def project(batches):
-        known, weights = held.value
+        known, factor = held.value
         for b in batches:
-            out = [(d, y, *vector(terms(x.decode("utf-8", "replace")), known, weights)) for d, y, x in zip(*(c.to_pylist() for c in b.columns))]
-            out = [(d, y, t.tolist(), w.tolist()) for d, y, t, w in out]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float64())))], ["doc_id", "label", "term", "weight"])
-
-    rows = examples.select("doc_id", "label", "body").mapInArrow(project, "doc_id long, label int, term array<int>, weight array<double>")
-    empty = {r["label"]: r["count"] for r in rows.where("size(term) = 0").groupBy("label").count().collect()}
-    rows = rows.where("size(term) > 0").collect()
-    # Examples whose heaviest terms are the same come together, so that the blocks' bounds are close.
-    rows.sort(key=lambda r: ([t for _, t in sorted(zip(r["weight"], r["term"]), reverse=True)], r["doc_id"], r["label"]))
-    index = build([(np.array(r["term"], dtype=np.int64), np.array(r["weight"])) for r in rows], [r["doc_id"] for r in rows], [r["label"] for r in rows], vocabulary, idf)
+            found = [vector(_words(x), known, factor) for x in b.column(2).to_pylist()]
+            columns = [pa.array([t.tolist() for t, _ in found], pa.list_(pa.int32())), pa.array([w.tolist() for _, w in found], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], *columns], ["doc_id", "label", "term", "weight"])
+
+    rows = examples.mapInArrow(project, "doc_id long, label int, term array<int>, weight array<double>").collect()
+    rows = sorted(rows, key=lambda r: _kind(r["term"], r["weight"], held.value[1]) + (r["doc_id"],))
+    empty = {k: sum(1 for r in rows if r["label"] == k and not r["term"]) for k in (0, 1)}
+    rows = [r for r in rows if r["term"]]
+    vectors = [(np.array(r["term"], dtype=np.int64), np.array(r["weight"])) for r in rows]
+    index = build(vectors, [r["doc_id"] for r in rows], [r["label"] for r in rows], *held.value)
+    own = docs.sparkSession.sparkContext.broadcast(index)
+
+    def shares(batches):
+        index = own.value
+        place = {d: i for i, d in enumerate(index.ids.tolist())}
+        for b in batches:
+            out = [(place[d], vector(_words(x), index.vocabulary, index.factor)) for d, x in zip(b.column(0).to_pylist(), b.column(2).to_pylist()) if d in place]
+            found = [vote(index, *nearest(index, *v, skip=i)) for i, v in out]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()), pa.array(found, pa.float64())], ["place", "share"])
+
+    voted = examples.repartition(8, "doc_id").mapInArrow(shares, "place long, share double").toPandas().sort_values("place")
+    share = voted["share"].to_numpy(float)
     # An example stands for so many labelled documents of its class.
     worth = {k: max(1.0, sizes[k] / max(1, n.get(k, 0))) for k in (0, 1)}
-    found = [nearest(index, np.array(r["term"], dtype=np.int64), np.array(r["weight"]), skip=i) for i, r in enumerate(rows)]
-    shares = np.array([vote(index, *x) for x in found])
-    some = shares >= 0
-    steps, scores = calibrate(shares[some], index.label[some], np.array([worth[y] for y in index.label[some].tolist()]))
-    alone = [worth[k] * (empty.get(k, 0) + int((~some & (index.label == k)).sum())) for k in (0, 1)]
-    return Model(index, steps, scores, (alone[1] + 0.5) / (sum(alone) + 1))
+    some = share >= 0
+    steps, scores = calibrate(share[some], index.label[some], np.array([worth[y] for y in index.label[some].tolist()]))
+    lonely = [worth[k] * (empty[k] + int((~some & (index.label == k)).sum())) for k in (0, 1)]
+    usual = (sizes[1] + 0.5) / (sum(sizes.values()) + 1)
+    return Model(index, steps, scores, (lonely[1] + usual) / (sum(lonely) + 1))
+
+
+def _kind(term, weight, factor) -> tuple:
+    """Examples of one kind come together, so that blocks' bounds are close: heaviest lifted term, most common term, length."""
+    if not term:
+        return (-1, -1, 0)
+    heavy = max(zip(weight, term))
+    return (heavy[1] if factor[heavy[1]] > 10 * PLAIN else -1, min(term, key=lambda t: factor[t]), len(term))
 
 
 EVIDENCE = "array<struct<doc_id:bigint,cosine:double,toxic:int>>"

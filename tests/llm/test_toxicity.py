@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from docketlab.llm import toxicity as T
 
@@ -10,31 +11,43 @@ DOC, LABEL = "doc_id long, text string", "doc_id long, quality int, toxic int"
 def random_index(rng, n=300, m=40):
     vectors = []
     for _ in range(n):
-        at = np.array(sorted(rng.sample(range(m), rng.randrange(1, 6))))
-        w = np.array([rng.random() + 0.1 for _ in at])
+        at = np.array(sorted({min(m - 1, int(rng.expovariate(4 / m))) for _ in range(rng.randrange(1, 9))}))
+        w = np.array([rng.choice([0.5, 1.0, 2.0]) for _ in at])
         vectors.append((at, w / np.sqrt((w * w).sum())))
-    return T.build(vectors, list(range(n)), [rng.randrange(2) for _ in range(n)], {str(k): k for k in range(m)}, np.ones(m)), vectors
+    ids = rng.sample(range(10 * n), n)
+    return T.build(vectors, ids, [rng.randrange(2) for _ in range(n)], {str(k): k for k in range(m)}, np.ones(m)), vectors
 
 
-def test_nearest_is_exact():
-    rng = random.Random(1)
-    index, vectors = random_index(rng)
-    dense = np.zeros((300, 40))
+@pytest.mark.parametrize("n, m", [(300, 40), (3000, 400), (5, 3), (64, 2)])
+def test_nearest_is_exact(n, m):
+    rng = random.Random(n)
+    index, vectors = random_index(rng, n, m)
+    dense = np.zeros((n, m))
     for i, (at, w) in enumerate(vectors):
         dense[i, at] = w
-    for q in range(60):
+    for q in range(min(n, 80)):
         at, w = vectors[q]
         cosine = dense @ dense[q]
         cosine[q] = -1
-        want = np.sort(cosine[cosine > 0])[::-1][: T.NEIGHBOURS]
         best, value = T.nearest(index, at, w, skip=q)
-        assert np.allclose(value, want) and np.allclose(value, cosine[best]) and len(set(best.tolist())) == len(best)
+        order = sorted((i for i in range(n) if cosine[i] > T.TIE), key=lambda i: (-round(cosine[i], 5), index.ids[i]))[: T.NEIGHBOURS]
+        assert np.allclose(value, cosine[order], atol=1e-5) and np.allclose(value, cosine[best], atol=1e-5)
+        assert best.tolist() == order  # ties are few values here: the least ids win, in whatever block they are
     assert len(T.nearest(index, np.zeros(0, np.int64), np.zeros(0))[0]) == 0
 
 
+def test_blocks_that_cannot_matter_are_left_out():
+    rng = random.Random(4)
+    vectors = [(np.array(sorted(rng.sample(range(20 * (i // 640), 20 * (i // 640) + 20), 6))), np.full(6, 6**-0.5)) for i in range(6400)]
+    index = T.build(vectors, range(6400), [0] * 6400, {str(k): k for k in range(200)}, np.ones(200))
+    assert (index.row >= 0).all() or (index.row < 0).any()
+    best, _ = T.nearest(index, *vectors[3], skip=3)
+    assert set(best.tolist()) <= set(range(640))
+
+
 def test_calibration_is_monotone_and_pooled():
     steps, scores = T.calibrate(np.array([0.1, 0.5, 0.5, 0.9, 1.0]), np.array([0, 1, 0, 0, 1]), np.ones(5))
-    assert (np.diff(scores) >= 0).all() and len(steps) == len(scores) and steps[0] == 0.1
+    assert (np.diff(scores) >= 0).all() and (np.diff(steps) >= 0).all() and len(steps) == len(scores) and steps[0] == 0.1 and steps[-1] == 1
 
 
 def corpus(n=400, seed=3):
@@ -87,4 +100,15 @@ def test_a_common_passage_makes_no_copies(spark):
         docs.append((i, f"{copy} end{i}"))
         labels.append((i, 1, 1))
     model = T.train(spark.createDataFrame(docs, DOC), spark.createDataFrame(labels, LABEL))
-    assert "wutwort" in model.index.vocabulary and not any(t.startswith("copied") for t in model.index.vocabulary)
+    factor = {t: model.index.factor[k] for t, k in model.index.vocabulary.items()}
+    assert {t for d, x in docs for t in x.split()} == set(factor)  # no word is left out
+    assert factor["wutwort"] > 10 * max(f for t, f in factor.items() if t.startswith(("copied", "own")))
+
+
+def test_repeated_ids_and_texts_without_toxic_words(spark):
+    docs, labels = corpus()
+    d = spark.createDataFrame(docs + [(i, "another text of the same id") for i, _ in docs[:50]] + docs[:20], DOC)
+    model = T.train(d, spark.createDataFrame(labels + labels, LABEL))
+    assert len(model.index.ids) == len(set(model.index.ids.tolist())) == len(docs)
+    found = T.assess(spark.createDataFrame(docs, DOC), spark.createDataFrame(labels, LABEL)).collect()
+    assert all(len(r.evidence) == T.NEIGHBOURS for r in found) and {e.toxic for r in found for e in r.evidence} == {0, 1}
