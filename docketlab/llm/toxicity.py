@@ -160,19 +160,19 @@ def vote(index: Index, best: np.ndarray, cosine: np.ndarray) -> float:
 
 
 def calibrate(shares: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Points (share, score) of a non-decreasing line, by pooled adjacent violators; each pool is smoothed by one example at even odds.
+    """Points (share, score) of a non-decreasing line, by pooled adjacent violators.
 
-    A pool is two points, its least and its largest share.
+    A pool is a point at its mean share; its score is smoothed by one example at even odds.
     """
     order = np.argsort(shares, kind="stable")
-    pools: list[list[float]] = []  # share from, share to, weight, toxic weight
+    pools: list[list[float]] = []  # largest share, weight, toxic weight, weighted shares
     for s, y, w in zip(shares[order], label[order], weight[order]):
-        pools.append([s, s, w, w * y])
-        while len(pools) > 1 and (pools[-2][1] == pools[-1][0] or pools[-2][3] * pools[-1][2] >= pools[-1][3] * pools[-2][2]):
+        pools.append([s, w, w * y, w * s])
+        while len(pools) > 1 and (pools[-2][0] == s or pools[-2][2] * pools[-1][1] >= pools[-1][2] * pools[-2][1]):
             last = pools.pop()
-            pools[-1] = [pools[-1][0], last[1], pools[-1][2] + last[2], pools[-1][3] + last[3]]
-    score = np.maximum.accumulate(np.array([(t + 0.5) / (w + 1) for _, _, w, t in pools])) if pools else np.zeros(0)
-    return np.array([x for p in pools for x in p[:2]]), np.repeat(score, 2)
+            pools[-1] = [last[0], *(x + z for x, z in zip(pools[-1][1:], last[1:]))]
+    score = np.maximum.accumulate(np.array([(t + 0.5) / (w + 1) for _, w, t, _ in pools])) if pools else np.zeros(0)
+    return np.array([x / w for _, w, _, x in pools]), score
 
 
 @dataclass
