@@ -59,46 +59,50 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return id_and_bytes(docs, id_col, text_col).withColumn("h", F.xxhash64("body")).mapInArrow(run, STATS)
 
 
-def _vote(value: Column, good: Callable[[Column], Column] | None, junk: Callable[[Column], Column]) -> Column:
-    out = F.when(junk(value), JUNK)
-    if good is not None:
-        out = out.when(good(value), GOOD)
-    return F.coalesce(out, F.lit(NONE))
+def _vote(value: Column, good: Callable[[Column], Column], junk: Callable[[Column], Column]) -> Column:
+    return F.when(junk(value), JUNK).when(good(value), GOOD).otherwise(NONE)
 
 
 def rules() -> dict[str, Column]:
-    """The rules' votes. Detectors of one kind of junk say nothing about texts that they do not concern."""
+    """The rules' votes: each speaks for and against a text, and abstains between its two thresholds.
+
+    They overlap, and some are weak: many good texts are short or repeat a phrase. What a vote is worth is not set here.
+    """
     each = lambda c, of="n_words": F.col(c) / F.greatest(F.col(of), F.lit(1))
-    plain = (each("n_symbols") < 0.05) & (each("n_marks") < 0.1) & (each("n_upper", "n_letters") < 0.4) & (each("n_repeat_words") < 0.4) & (each("n_top") < 0.3)
     return {
-        "symbols": _vote(each("n_symbols"), None, lambda v: v > 0.2),
-        "marks": _vote(each("n_marks"), None, lambda v: v > 0.3),
-        "capitals": _vote(each("n_upper", "n_letters"), None, lambda v: v > 0.6),
-        "repeats": _vote(each("n_repeat_words"), None, lambda v: v > 0.4),
-        "one_word": _vote(each("n_top"), None, lambda v: v > 0.4),
-        "lines": _vote(each("n_dup_lines", "n_lines"), None, lambda v: (v > 0.3) & (F.col("n_dup_lines") > 2)),
-        "word_length": _vote(each("word_chars"), lambda v: v.between(3, 9), lambda v: (v < 2) | (v > 14)),
-        "length": _vote(F.col("n_words"), lambda v: v >= MIN_WORDS, lambda v: v < 10),
-        "prose": F.when(plain & (F.col("n_words") > 0), GOOD).otherwise(NONE),
+        "symbols": _vote(each("n_symbols") + each("n_marks"), lambda v: v < 0.02, lambda v: v > 0.1),
+        "marks": _vote(each("n_marks"), lambda v: v < 0.01, lambda v: v > 0.1),
+        "capitals": _vote(each("n_upper", "n_letters"), lambda v: (v > 0) & (v < 0.1), lambda v: v > 0.3),
+        "word_length": _vote(each("word_chars"), lambda v: v.between(4, 6.5), lambda v: (v < 3.5) | (v > 7)),
+        "one_word": _vote(each("n_top"), lambda v: v < 0.1, lambda v: v > 0.2),
+        "repeats": _vote(each("n_repeat_words"), lambda v: v <= 0.05, lambda v: v > 0.2),
+        "lines": _vote(each("n_dup_lines", "n_lines"), lambda v: v <= 0.1, lambda v: v > 0.3),
+        "line_length": _vote(each("n_words", "n_lines"), lambda v: v.between(20, 100), lambda v: (v < 8) | (v > 300)),
+        "length": _vote(F.col("n_words"), lambda v: v >= 200, lambda v: v < 100),
     }
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, weight: float = 0.02) -> tuple[np.ndarray, np.ndarray]:
+#: Where expectation-maximisation starts: shares of good and junk texts, and how often any rule says good, junk or nothing of either.
+START_SHARE = np.array([0.8, 0.2])
+START_VOTES = np.array([[0.70, 0.02, 0.28], [0.45, 0.30, 0.25]])
+
+
+def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, weight: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
     """Class shares (good, junk) and, for each rule, class and vote, its probability.
 
-    ``patterns`` has a row for each pattern of votes. The start, which also acts as ``weight`` of the corpus all along
-    and so keeps the classes' meaning, has rules that rarely call good texts junk or junk texts good.
+    ``patterns`` has a row for each pattern of votes. All rules start alike, a little better than chance; the start also
+    acts as ``weight`` of the corpus all along, which keeps the classes' meaning.
     """
-    n, m = counts.sum(), patterns.shape[1]
-    start = np.tile(np.array([[0.70, 0.02, 0.28], [0.20, 0.40, 0.40]]), (m, 1, 1))
-    share, table = np.array([0.8, 0.2]), start.copy()
+    n, m = max(counts.sum(), 1), patterns.shape[1]
+    start = np.tile(START_VOTES, (m, 1, 1))
+    share, table = START_SHARE, start
     hot = np.eye(3)[patterns]  # pattern, rule, vote
     for _ in range(rounds):
         post = posterior(patterns, share, table)
         both = np.stack([post, 1 - post], axis=1) * counts[:, None]
-        new = np.einsum("pc,prv->rcv", both, hot) + weight * max(n, 1) * start
+        new = np.einsum("pc,prv->rcv", both, hot) + weight * n * START_SHARE[None, :, None] * start
         new /= new.sum(axis=2, keepdims=True)
-        new_share = (both.sum(axis=0) + weight * max(n, 1) * np.array([0.8, 0.2])) / (n + weight * max(n, 1))
+        new_share = (both.sum(axis=0) + weight * n * START_SHARE) / (counts.sum() + weight * n)
         moved = np.abs(new - table).max()
         share, table = new_share, new
         if moved < 1e-9:
@@ -106,6 +110,12 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, weight: flo
     return share, table
 
 
+def accuracies(share: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """For each rule, the estimated probability that it is right where it votes."""
+    right = share[0] * table[:, 0, GOOD] + share[1] * table[:, 1, JUNK]
+    return right / (share[0] * table[:, 0, [GOOD, JUNK]].sum(axis=1) + share[1] * table[:, 1, [GOOD, JUNK]].sum(axis=1))
+
+
 def posterior(patterns: np.ndarray, share: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Probability that a text with this pattern is good."""
     rule = np.arange(patterns.shape[1])
@@ -113,23 +123,39 @@ def posterior(patterns: np.ndarray, share: np.ndarray, table: np.ndarray) -> np.
     return 1 / (1 + np.exp(np.clip(logs[1] - logs[0], -700, 700)))
 
 
+def base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
+def _fitted(stats: DataFrame) -> tuple[dict[str, Column], np.ndarray, np.ndarray]:
+    """The votes, and what EM estimates from the counts of their patterns in all texts that the base rules leave open."""
+    votes = rules()
+    counted = stats.where(~base_failed()).groupBy(F.concat(*[v.cast("string") for v in votes.values()]).alias("pattern")).count().collect()
+    patterns = np.array([[int(c) for c in r["pattern"]] for r in counted], dtype=np.int64).reshape(-1, len(votes))
+    return votes, *fit(patterns, np.array([r["count"] for r in counted], dtype=float))
+
+
+def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``rule, good_rate, junk_rate, accuracy``: how often each rule calls good texts good and junk texts junk, and is right where it votes."""
+    votes, share, table = _fitted(materialize(text_statistics(docs, id_col, text_col), "stats"))
+    right = accuracies(share, table)
+    rows = [(name, float(table[k, 0, GOOD]), float(table[k, 1, JUNK]), float(right[k])) for k, name in enumerate(votes)]
+    return docs.sparkSession.createDataFrame(rows, "rule string, good_rate double, junk_rate double, accuracy double")
+
+
 def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_from: float = 0.5) -> DataFrame:
-    """Statistics, ``posterior``, ``base_failed`` and ``kept`` for every row of ``docs``.
+    """Statistics, ``posterior``, ``n_against`` (rules that vote junk), ``base_failed`` and ``kept`` for every row of ``docs``.
 
     Null, empty and wordless texts have zero statistics and fail the base rules, as do texts of under fifty words or
     with over half of their words in repeated windows of three. Repeated rows and null ids are assessed as any; an empty
     table gives an empty result; other columns are ignored.
     """
     stats = materialize(text_statistics(docs, id_col, text_col), "stats")
-    votes = rules()
-    pattern = F.concat(*[v.cast("string") for v in votes.values()])
-    counted = stats.groupBy(pattern.alias("pattern")).count().collect()
-    patterns = np.array([[int(c) for c in r["pattern"]] for r in counted], dtype=np.int64).reshape(-1, len(votes))
-    share, table = fit(patterns, np.array([r["count"] for r in counted], dtype=float))
-    odds = F.lit(float(np.log(share[0] / share[1])))
+    votes, share, table = _fitted(stats)
+    odds, against = F.lit(float(np.log(share[0] / share[1]))), F.lit(0)
     for k, v in enumerate(votes.values()):
         says = np.log(table[k, 0] / table[k, 1])
         odds = odds + F.when(v == GOOD, float(says[GOOD])).when(v == JUNK, float(says[JUNK])).otherwise(float(says[NONE]))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    out = stats.withColumn("posterior", 1 / (1 + F.exp(-odds))).withColumn("base_failed", failed)
+        against = against + (v == JUNK).cast("int")
+    out = stats.withColumn("posterior", 1 / (1 + F.exp(-odds))).withColumn("n_against", against).withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= keep_from))

@@ -59,3 +59,52 @@ def test_em_equals_em_over_single_rows():
     votes = np.stack([np.where(rng.random(3000) < 0.3, Q.NONE, np.where(rng.random(3000) < acc, ~true, true).astype(int)) for acc in (0.9, 0.8, 0.85, 0.75)], axis=1)
     share, table = Q.fit(votes, np.ones(3000))
     assert ((Q.posterior(votes, share, table) > 0.5) == true).mean() > 0.85 and abs(share[0] - 0.7) < 0.1
+
+
+def test_a_bad_rule_is_outvoted():
+    rng = np.random.default_rng(9)
+    junk = rng.random(4000) < 0.15
+    good = lambda acc: np.where(rng.random(4000) < 0.25, Q.NONE, np.where(rng.random(4000) < acc, junk, ~junk).astype(int))
+    votes = np.stack([good(0.97), good(0.95), good(0.96), good(0.95), np.where(rng.random(4000) < 0.4, Q.JUNK, Q.GOOD)], axis=1)
+    share, table = Q.fit(votes, np.ones(4000))
+    right = Q.accuracies(share, table)
+    assert right[4] < 0.7 < 0.9 < right[:4].min() and abs(share[1] - 0.15) < 0.03
+    kept, all_pass = Q.posterior(votes, share, table) >= 0.5, (votes != Q.JUNK).all(axis=1)
+    assert (kept == ~junk).mean() > 0.97 and (all_pass == ~junk).mean() < 0.7
+    assert (kept[kept != all_pass] == ~junk[kept != all_pass]).mean() > 0.95
+
+
+def plain_votes(t):
+    """The rules' votes on a text, from its characters."""
+    n, chars, symbols, dup, repeated = brute(t)
+    words = re.findall(r"[^\x20\x09-\x0D]+", t)
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    upper, letters = len(re.findall("[A-Z]", t)), len(re.findall("[A-Za-z]", t))
+    pick = lambda v, good, junk: Q.JUNK if junk(v) else Q.GOOD if good(v) else Q.NONE
+    return [
+        pick((symbols + t.count("!")) / n, lambda v: v < 0.02, lambda v: v > 0.1), pick(t.count("!") / n, lambda v: v < 0.01, lambda v: v > 0.1),
+        pick(upper / max(letters, 1), lambda v: 0 < v < 0.1, lambda v: v > 0.3), pick(chars / n, lambda v: 4 <= v <= 6.5, lambda v: v < 3.5 or v > 7),
+        pick(max(Counter(words).values()) / n, lambda v: v < 0.1, lambda v: v > 0.2), pick(repeated / n, lambda v: v <= 0.05, lambda v: v > 0.2),
+        pick(dup / len(lines), lambda v: v <= 0.1, lambda v: v > 0.3), pick(n / len(lines), lambda v: 20 <= v <= 100, lambda v: v < 8 or v > 300),
+        pick(n, lambda v: v >= 200, lambda v: v < 100),
+    ]
+
+
+def test_verdicts_match_brute_force(spark):
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 8))) for _ in range(500)]
+    sentence = lambda k: " ".join(rng.choices(words, k=k)).capitalize() + "."
+    rows = [(i, "\n".join(sentence(rng.randrange(6, 60)) for _ in range(rng.randrange(1, 12)))) for i in range(300)]
+    rows += [(1000 + i, re.sub(" ", rng.choice(["*** ", " | ", "!! "]), sentence(rng.randrange(60, 300)))) for i in range(60)]
+    rows += [(2000 + i, rows[i][1] + "\n" + "\n".join([sentence(8)] * rng.randrange(1, 9))) for i in range(60)]
+    got = {r.doc_id: r for r in Q.assess(spark.createDataFrame(rows, ROWS)).collect()}
+    open_ = [(d, plain_votes(t)) for d, t in rows if brute(t)[0] >= 50 and 2 * brute(t)[4] <= brute(t)[0]]
+    patterns = np.array([v for _, v in open_])
+    kept = Q.posterior(patterns, *Q.fit(patterns, np.ones(len(patterns)))) >= 0.5
+    assert {d: bool(k) for (d, _), k in zip(open_, kept)} == {d: got[d].kept for d, _ in open_}
+    assert all(got[d].n_against == v.count(Q.JUNK) for d, v in open_)
+    assert all(not got[d].kept for d, _ in rows if d not in dict(open_))
+    seen = {(got[d].kept, got[d].n_against > 0) for d, _ in open_}
+    assert (True, True) in seen and (False, True) in seen  # not all must pass
+    rules = {r.rule: r.accuracy for r in Q.report(spark.createDataFrame(rows, ROWS)).collect()}
+    assert len(rules) == 9 and rules["length"] < 0.9
