@@ -70,22 +70,25 @@ def prepare(items: list[tuple[str, bytes]], window: int = WINDOW, piece: int = P
     return Tests(vocabulary, np.append(as_array(codes), np.zeros(longest + 1, np.int64)), as_array(start), as_array(offset), as_array(item), as_array(need), np.array(is_window, dtype=bool), names, shortest, longest)
 
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of ``text`` in order of their first ``depth`` numbers at least, by prefix doubling."""
-    rank, k = text.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
-    while k < depth:
+def prefix_ranks(text: np.ndarray, depth: int) -> list[np.ndarray]:
+    """Ranks of all suffixes by their first 1, 2, 4 ... numbers, up to ``depth`` at least or until all differ (prefix doubling)."""
+    ranks, k = [np.unique(text, return_inverse=True)[1].ravel().astype(np.int64)], 1
+    while k < depth and len(text) and int(ranks[-1].max()) < len(text) - 1:
+        rank = ranks[-1]
         nxt = np.zeros_like(rank)
         nxt[:-k] = rank[k:] + 1
         key = rank * (int(rank.max()) + 2) + nxt
         order = np.argsort(key, kind="stable")
-        step = np.concatenate(([0], np.diff(key[order]) != 0)).cumsum()
-        rank = np.empty_like(rank)
-        rank[order] = step
-        if step[-1] == len(text) - 1:
-            break
+        new = np.empty_like(rank)
+        new[order] = np.concatenate(([0], np.diff(key[order]) != 0)).cumsum()
+        ranks.append(new)
         k *= 2
-    return order
+    return ranks
+
+
+def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes of ``text`` in order of their first ``depth`` numbers at least."""
+    return np.argsort(prefix_ranks(text, depth)[-1], kind="stable")
 
 
 def _narrow(values, lo, hi, wanted):
@@ -101,25 +104,81 @@ def _narrow(values, lo, hi, wanted):
         hi[open_[~less]] = mid[~less]
 
 
-def search(text: np.ndarray, order: np.ndarray, tests: Tests):
-    """For every test suffix: words of its longest match, the range of that in ``order``, and the range at its window's length."""
+def search(text: np.ndarray, order: np.ndarray, tests: Tests) -> tuple[np.ndarray, np.ndarray]:
+    """For every test suffix that has as many words as its window, the range in ``order`` that matches them.
+
+    The search goes on word by word, up to the window's last.
+    """
     n = len(tests.start)
-    lo, hi, length = np.zeros(n, np.int64), np.full(n, len(order), np.int64), np.zeros(n, np.int64)
-    window_lo, window_hi = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    padded = np.append(text, np.zeros(tests.longest + 2, np.int64))
-    live, depth = np.arange(n), 0
+    lo, hi = np.zeros(n, np.int64), np.full(n, len(order), np.int64)
+    padded = np.append(text, np.zeros(int(tests.need.max(initial=0)) + 2, np.int64))
+    live, depth = np.flatnonzero(tests.is_window), 0
+    lo[~tests.is_window] = hi[~tests.is_window] = 0
     while len(live):
         wanted = tests.codes[tests.start[live] + depth]
-        live, wanted = live[wanted > 0], wanted[wanted > 0]
         at = lambda i, d=depth: padded[order[i] + d]
         first = _narrow(at, lo[live], hi[live], wanted)
-        last = _narrow(at, first, hi[live], wanted + 1)
-        found = last > first
-        live, depth = live[found], depth + 1
-        lo[live], hi[live], length[live] = first[found], last[found], depth
-        whole = live[(tests.need[live] == depth) & tests.is_window[live]]
-        window_lo[whole], window_hi[whole] = lo[whole], hi[whole]
-    return length, lo, hi, window_lo, window_hi
+        lo[live], hi[live] = first, _narrow(at, first, hi[live], wanted + 1)
+        depth += 1
+        live = live[(hi[live] > lo[live]) & (tests.need[live] > depth)]
+    return lo, hi
+
+
+def search_longest(text: np.ndarray, tests: Tests) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every test suffix that matches by its window at least: its number, the words of its longest match, its range in an order of ``text``, and that order.
+
+    One array of ranks holds the suffixes of the text and of the tests. A test suffix is searched among the text's by
+    rank; its longest match is that with one of its two neighbours, found from the ranks by 1, 2, 4 ... words.
+    """
+    joined = np.concatenate([text, tests.codes])
+    ends = joined == 0  # what ends a run or an item is like nothing else
+    joined[ends] = joined.max(initial=0) + 1 + np.arange(ends.sum())
+    ranks = prefix_ranks(joined, len(joined))
+    padded = [np.append(r, np.full(1, -1)) for r in ranks]
+    order = np.argsort(ranks[-1][: len(text)], kind="stable")
+    which = np.flatnonzero(tests.is_window)
+    mine = tests.start[which] + len(text)
+    at = np.searchsorted(ranks[-1][order], ranks[-1][mine])
+
+    def common(a, b):
+        a, b, out = a.copy(), b.copy(), np.zeros(len(a), np.int64)
+        for k in range(len(ranks) - 1, -1, -1):
+            same = np.flatnonzero(padded[k][np.minimum(a, len(joined))] == padded[k][np.minimum(b, len(joined))])
+            same = same[(a[same] < len(joined)) & (b[same] < len(joined))]
+            for x in (a, b, out):
+                x[same] += 1 << k
+        return out
+
+    beside = [np.clip(at + d, 0, len(order) - 1) for d in (-1, 0)]
+    length = np.maximum(*(common(order[i], mine) for i in beside))
+    keep = length >= tests.need[which]
+    which, mine, at, length = which[keep], mine[keep], at[keep], length[keep]
+    level = np.frexp(length)[1] - 1  # 2 ** level words or more
+    shift = length - (1 << level)
+
+    def same(i):
+        out = np.zeros(len(i), bool)
+        for k in np.unique(level).tolist():
+            some = level == k
+            a, b = order[i[some]], mine[some]
+            r = padded[k]
+            second = lambda x: r[np.minimum(x + shift[some], len(joined))]  # noqa: B023, E731
+            out[some] = (r[a] == r[b]) & (second(a) == second(b))
+        return out
+
+    lo, hi = np.zeros(len(at), np.int64), np.full(len(at), len(order), np.int64)
+    low_to, high_from = at.copy(), at.copy()
+    while (open_ := lo < low_to).any():  # before the suffix's place, what matches comes last
+        mid = (lo + low_to) >> 1
+        ok = same(np.minimum(mid, len(order) - 1))
+        low_to = np.where(open_ & ok, mid, low_to)
+        lo = np.where(open_ & ~ok, mid + 1, lo)
+    while (open_ := high_from < hi).any():  # and after it, first
+        mid = (high_from + hi) >> 1
+        ok = same(np.minimum(mid, len(order) - 1))
+        high_from = np.where(open_ & ok, mid + 1, high_from)
+        hi = np.where(open_ & ~ok, mid, hi)
+    return which, length, lo, hi, order
 
 
 @dataclass
@@ -128,7 +187,6 @@ class Shard:
     starts: np.ndarray  # words before it
     text: np.ndarray  # runs that may match, with a 0 after each
     place: np.ndarray  # where in the shard each number of text is
-    order: np.ndarray
 
 
 def build_shard(bodies: list[bytes], tests: Tests) -> Shard:
@@ -149,8 +207,7 @@ def build_shard(bodies: list[bytes], tests: Tests) -> Shard:
     sizes = end - begin + 1
     place = np.repeat(begin, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     text = all_codes[np.minimum(place, max(0, len(all_codes) - 1))] if len(place) else np.zeros(0, np.int64)
-    depth = min(tests.longest, int(sizes.max()) if len(sizes) else 1)
-    return Shard(counts, starts, text, place, suffix_array(text, depth) if len(text) else np.zeros(0, np.int64))
+    return Shard(counts, starts, text, place)
 
 
 def _spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +223,8 @@ def find_hits(bodies: list[bytes], tests: Tests) -> list[tuple[int, list[list[in
     spans: list[list[list[int]]] = [[] for _ in bodies]
     items: list[set[int]] = [set() for _ in bodies]
     if len(shard.text) and len(tests.start):
-        _, _, _, lo, hi = search(shard.text, shard.order, tests)
+        order = suffix_array(shard.text, int(tests.need.max()))
+        lo, hi = search(shard.text, order, tests)
         hit = np.flatnonzero(hi > lo)
         same = np.unique(np.stack([lo[hit], hi[hit], tests.need[hit]], axis=1), axis=0, return_inverse=True)
         ranges, group = same[0], same[1].ravel()
@@ -174,7 +232,7 @@ def find_hits(bodies: list[bytes], tests: Tests) -> list[tuple[int, list[list[in
         for g, i in zip(group.tolist(), tests.item[hit].tolist()):
             owners[g].add(i)
         which, index = _spread(ranges[:, 0], ranges[:, 1])
-        at = shard.place[shard.order[index]]
+        at = shard.place[order[index]]
         cover = np.zeros(int(shard.starts[-1] + shard.counts[-1]) + 2, np.int64)
         np.add.at(cover, at, 1)
         np.add.at(cover, at + ranges[which, 2], -1)
@@ -194,12 +252,12 @@ def longest_in_shard(ids: list[int], bodies: list[bytes], tests: Tests) -> list[
     shard = build_shard(bodies, tests)
     if not len(shard.text) or not len(tests.start):
         return []
-    length, lo, hi, _, _ = search(shard.text, shard.order, tests)
     out = []
-    for k in np.flatnonzero(length >= tests.need).tolist():
-        at = int(shard.place[shard.order[lo[k] : hi[k]]].min())
+    which, length, lo, hi, order = search_longest(shard.text, tests)
+    for i, k in enumerate(which.tolist()):
+        at = int(shard.place[order[lo[i] : hi[i]]].min())
         d = int(np.searchsorted(shard.starts, at, side="right")) - 1
-        out.append((tests.names[tests.item[k]], int(tests.offset[k]), int(length[k]), int(hi[k] - lo[k]), ids[d], at - int(shard.starts[d])))
+        out.append((tests.names[tests.item[k]], int(tests.offset[k]), int(length[i]), int(hi[i] - lo[i]), ids[d], at - int(shard.starts[d])))
     return out
 
 

@@ -73,6 +73,45 @@ def test_longest_matches(spark):
     assert got[0] == (11, 1, 1, 1) and got[1] == (12, 1, 3, 0)
 
 
+def test_longest_matches_are_those_of_all_places():
+    for seed in range(6):
+        rng = random.Random(seed)
+        vocab = [f"w{i}" for i in range(rng.choice([2, 4, 30]))]
+        bench = [(str(i), " ".join(rng.choices(vocab, k=rng.choice([1, 3, 12, 25]))).encode()) for i in range(6)]
+        docs = [(i, " ".join(rng.choices(vocab + ["zz"], k=rng.randrange(60)) + rng.choice(bench)[1].decode().split())) for i in range(8)]
+        tests = D.prepare(bench, 4)
+        got = {(i, o): (n, places, d, w) for i, o, n, places, d, w in D.longest_in_shard([d for d, _ in docs], [t.encode() for _, t in docs], tests)}
+        want = {}
+        for name, b in bench:
+            v = b.decode().split()
+            for o in range(len(v) - min(4, len(v)) + 1):
+                found = []
+                for d, t in docs:
+                    w = t.split()
+                    for k in range(len(w)):
+                        n = 0
+                        while o + n < len(v) and k + n < len(w) and v[o + n] == w[k + n]:
+                            n += 1
+                        found.append((n, d, k))
+                most = max(n for n, *_ in found)
+                if most >= min(4, len(v)):
+                    first = min((d, k) for n, d, k in found if n == most)
+                    want[name, o] = (most, sum(n == most for n, *_ in found), *first)
+        assert got == want
+
+
+def test_a_long_copied_item_takes_no_quadratic_time():
+    import time
+
+    body = " ".join(f"x{i}" for i in range(20_000)).encode()
+    tests = D.prepare([("1", body)], 10)
+    began = time.perf_counter()
+    (n, spans, items), = D.find_hits([b"before it " + body + b" after"], tests)
+    assert (n, spans, items) == (20_003, [[2, 20_002]], ["1"]) and time.perf_counter() - began < 5
+    found = D.longest_in_shard([5], [body], tests)
+    assert found[0] == ("1", 0, 20_000, 1, 5, 0) and time.perf_counter() - began < 10
+
+
 def test_clean_documents_stay_with_their_columns(spark):
     docs = spark.createDataFrame([(1, "one two three four", "n"), (2, "one two three five", "n"), (2, "one two three four", "m"), (None, "fine", "h"), (4, None, "s")], DOC + ", h string")
     kept = D.decontaminate(docs, spark.createDataFrame([(1, "two three four")], ITEM))
