@@ -24,11 +24,11 @@ from .common import id_and_bytes, materialize, text_hash
 from .labelled import fold, label_sample
 
 #: Labelled examples of each class at most; all others of the labelled rows only count as how many there are.
-PER_CLASS = 4_000
+PER_CLASS = 3_000
 NEIGHBOURS = 9
 BLOCK = 64
 #: Blocks scored before the bound is looked at again.
-STEP = 16
+STEP = 32
 #: Terms in more than one of so many examples are kept by blocks.
 FREQUENT = 16
 #: Standard errors by which a term's log odds must differ from even before it is lifted, and the weight of all others.
@@ -252,10 +252,10 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", allowed=Non
     of = lambda k: F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0))
     counted = materialize(examples.mapInArrow(count, "term string, label int, n long").groupBy("term").agg(F.sum("n").alias("n")), "terms")
     alone = single.mapInArrow(count, "term string, label int, n long").groupBy("term").agg(of(1).alias("pos"), of(0).alias("neg"))
-    df = counted.join(alone, "term", "left").fillna(0, ["pos", "neg"]).toPandas().sort_values("term")
+    df = counted.join(alone, "term", "left").select("term", F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("neg", F.lit(0)).alias("neg")).toArrow().sort_by("term")
     n_single = {r["label"]: r["count"] for r in single.groupBy("label").count().collect()}
-    vocabulary = {t: k for k, t in enumerate(df["term"].tolist())}
-    pos, neg = df["pos"].to_numpy(float), df["neg"].to_numpy(float)
+    vocabulary = {t: k for k, t in enumerate(df["term"].to_pylist())}
+    pos, neg = (df[c].to_numpy().astype(float) for c in ("pos", "neg"))
     idf = np.log((1 + sum(n_single.values())) / (1 + pos + neg)) + PLAIN
     held = docs.sparkSession.sparkContext.broadcast((vocabulary, idf * lift(pos, neg, n_single.get(1, 0), n_single.get(0, 0))))
 
@@ -263,15 +263,16 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", allowed=Non
         known, factor = held.value
         for b in batches:
             found = [vector(_words(x), known, factor) for x in b.column(2).to_pylist()]
-            columns = [pa.array([t.tolist() for t, _ in found], pa.list_(pa.int32())), pa.array([w.tolist() for _, w in found], pa.list_(pa.float64()))]
+            columns = [pa.array([x[k].astype(t).tobytes() for x in found], pa.binary()) for k, t in enumerate(("<i4", "<f4"))]
             yield pa.RecordBatch.from_arrays([*b.columns[:2], *columns], ["doc_id", "label", "term", "weight"])
 
-    rows = examples.mapInArrow(project, "doc_id long, label int, term array<int>, weight array<double>").collect()
-    rows = sorted(rows, key=lambda r: _kind(r["term"], r["weight"], held.value[1]) + (r["doc_id"],))
-    empty = {k: sum(1 for r in rows if r["label"] == k and not r["term"]) for k in (0, 1)}
-    rows = [r for r in rows if r["term"]]
-    vectors = [(np.array(r["term"], dtype=np.int64), np.array(r["weight"])) for r in rows]
-    index = build(vectors, [r["doc_id"] for r in rows], [r["label"] for r in rows], *held.value)
+    rows = examples.mapInArrow(project, "doc_id long, label int, term binary, weight binary").toArrow()
+    rows = [(d, y, np.frombuffer(t, "<i4"), np.frombuffer(w, "<f4")) for d, y, t, w in zip(*(c.to_pylist() for c in rows.columns))]
+    rows.sort(key=lambda r: _kind(r[2], r[3], held.value[1]) + (r[0],))
+    empty = {k: sum(1 for _, y, t, _ in rows if y == k and not len(t)) for k in (0, 1)}
+    rows = [r for r in rows if len(r[2])]
+    index = build([r[2:] for r in rows], [r[0] for r in rows], [r[1] for r in rows], *held.value)
+    del rows, df
     own = docs.sparkSession.sparkContext.broadcast(index)
 
     def shares(batches):
@@ -282,8 +283,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", allowed=Non
             found = [vote(index, *nearest(index, *v, skip=i)) for i, v in out]
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()), pa.array(found, pa.float64())], ["place", "share"])
 
-    voted = examples.repartition(8, "doc_id").mapInArrow(shares, "place long, share double").toPandas().sort_values("place")
-    share = voted["share"].to_numpy(float)
+    share = examples.repartition(8, "doc_id").mapInArrow(shares, "place long, share double").toArrow().sort_by("place")["share"].to_numpy()
     # An example stands for so many labelled documents of its class.
     worth = {k: max(1.0, sizes[k] / max(1, n.get(k, 0))) for k in (0, 1)}
     some = share >= 0
@@ -295,10 +295,10 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", allowed=Non
 
 def _kind(term, weight, factor) -> tuple:
     """Examples of one kind come together, so that blocks' bounds are close: heaviest lifted term, most common term, length."""
-    if not term:
+    if not len(term):
         return (-1, -1, 0)
-    heavy = max(zip(weight, term))
-    return (heavy[1] if factor[heavy[1]] > 10 * PLAIN else -1, min(term, key=lambda t: factor[t]), len(term))
+    heavy = int(term[weight.argmax()])
+    return (heavy if factor[heavy] > 10 * PLAIN else -1, int(term[factor[term].argmin()]), len(term))
 
 
 EVIDENCE = "array<struct<doc_id:bigint,cosine:double,toxic:int>>"
