@@ -1,7 +1,7 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Vectors are over all words of the labelled examples. A word's weight is its TF-IDF, lifted where its tie to the label is
-far beyond chance: no word is left out for its label, but words that tell the classes apart decide which examples are
+Vectors are over all words of the labelled examples, each by its first letters. A term's weight is its TF-IDF, lifted
+where its tie to the label is far beyond chance: none is left out for its label, but terms that tell the classes apart decide which examples are
 near. The index keeps for each term its postings, or, if it is frequent, its weights by blocks of examples with their
 largest. A text's rare terms are added up first; of its frequent terms only the blocks are scored whose bound could
 still better the worst of the best. Neighbours of both classes vote by their cosine; the share of toxic votes is
@@ -39,15 +39,22 @@ ALIKE = 0.8
 KIN_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 HELD_OUT_OF = 5
 WORD = re.compile(r"\w+")
+#: Letters of a word's beginning that are its term.
+STEM = 4
 #: Cosines this close are equal; of equally near examples the one of least id is taken first.
 TIE = 1e-6
 
 
-def terms(text: str) -> list[str]:
+def words(text: str) -> list[str]:
     """All words of a text in lower case."""
     return WORD.findall(text.lower())
 
 
+def terms(text: str) -> list[str]:
+    """The beginnings of all words of a text: forms of one word are one term, whatever the language."""
+    return [w[:STEM] for w in WORD.findall(text.lower())]
+
+
 def word_pairs(words: list[str]) -> set[int]:
     """Hashes of a text's word pairs; of its one word if there is no pair."""
     pairs = {f"{a} {b}" for a, b in zip(words, words[1:])} or {" ".join(words)}
@@ -190,10 +197,14 @@ class Model:
         return float(np.interp(share, self.steps, self.scores)) if len(self.scores) else self.nothing, best, cosine
 
 
-def _words(body: bytes) -> list[str]:
+def _terms(body: bytes) -> list[str]:
     return terms(body.decode("utf-8", "replace"))
 
 
+def _words(body: bytes) -> list[str]:
+    return words(body.decode("utf-8", "replace"))
+
+
 def single_examples(examples: DataFrame) -> DataFrame:
     """``examples`` (``doc_id, label, body``) without those alike to an earlier one of their label.
 
@@ -243,7 +254,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", allowed=Non
         for b in batches:
             seen = Counter()
             for label, body in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                for t in set(_words(body)):
+                for t in set(_terms(body)):
                     seen[t, label] += 1
             columns = [pa.array([t for t, _ in seen], pa.string()), pa.array([y for _, y in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["term", "label", "n"])
@@ -262,7 +273,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", allowed=Non
     def project(batches):
         known, factor = held.value
         for b in batches:
-            found = [vector(_words(x), known, factor) for x in b.column(2).to_pylist()]
+            found = [vector(_terms(x), known, factor) for x in b.column(2).to_pylist()]
             columns = [pa.array([x[k].astype(t).tobytes() for x in found], pa.binary()) for k, t in enumerate(("<i4", "<f4"))]
             yield pa.RecordBatch.from_arrays([*b.columns[:2], *columns], ["doc_id", "label", "term", "weight"])
 
@@ -279,7 +290,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", allowed=Non
         index = own.value
         place = {d: i for i, d in enumerate(index.ids.tolist())}
         for b in batches:
-            out = [(place[d], vector(_words(x), index.vocabulary, index.factor)) for d, x in zip(b.column(0).to_pylist(), b.column(2).to_pylist()) if d in place]
+            out = [(place[d], vector(_terms(x), index.vocabulary, index.factor)) for d, x in zip(b.column(0).to_pylist(), b.column(2).to_pylist()) if d in place]
             found = [vote(index, *nearest(index, *v, skip=i)) for i, v in out]
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()), pa.array(found, pa.float64())], ["place", "share"])
 
