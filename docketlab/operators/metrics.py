@@ -176,5 +176,6 @@ def most_common(df: DataFrame, value: str, n: int = 50) -> DataFrame:
 
 
 def ranked_methods(scores: DataFrame) -> DataFrame:
-    """Mean scores of each method and category side by side, the best first."""
-    return scores.groupBy("method").pivot("category").agg(F.avg("f1")).orderBy("method")
+    """Mean scores of each method by category side by side, and ``mean_f1`` over all; the best first, then by name."""
+    wide = scores.groupBy("method").pivot("category").agg(F.avg("f1"))
+    return wide.join(scores.groupBy("method").agg(F.avg("f1").alias("mean_f1")), "method").orderBy(F.desc("mean_f1"), "method")

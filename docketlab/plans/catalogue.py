@@ -583,9 +583,14 @@ def events_windows(spark, d):
     return rows.withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
-@query()
+@query("""
+WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events),
+k AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS nr FROM g)
+SELECT user_id, min(ts) AS "start", max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n FROM k GROUP BY user_id, nr
+""")
 def events_sessions(spark, d):
-    return streams.sessions(t(spark, d, "events"), "ts", "30 minutes", "user_id")
+    found = streams.sessions(t(spark, d, "events"), "ts", "30 minutes", "user_id")
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
 
 
 # --- samples, models, prompts ------------------------------------------------------------------------------------
