@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from docketlab.operators import clustering, legacy
+from docketlab.operators import clustering, legacy, linkage
 from docketlab.plans import catalogue
 
 
@@ -159,3 +159,14 @@ def test_singletons_are_merged_where_approved(spark):
     merged = {r.id: r.cluster for r in clustering.singletons_merged(clusters, docs, provider=model).collect()}
     assert merged == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7}
     assert {r.id: r.cluster for r in clustering.singletons_merged(clusters, docs).collect()} == {r.id: r.cluster for r in clusters.collect()}
+
+
+def test_frequent_names_are_dealt_to_blocks(spark, monkeypatch):
+    monkeypatch.setattr(linkage, "NAME_BLOCK", 16)
+    m = spark.createDataFrame([(i, "Ann" if i % 10 else "Anna", "Lee") for i in range(60)] + [(300, "Bo", "Poe"), (301, None, "Poe")], "mention_uid long, mention_first_name string, mention_last_name string")
+    r = spark.createDataFrame([(i, "ann", "LEE") for i in range(40)] + [(200, "Bob", "Poe"), (201, "Bo", "Pond"), (202, None, "Poe"), (200, "Bob", "Poe")], "post_person_nbr long, post_first_name string, post_last_name string")
+    found = linkage.name_net(m, r)
+    got = Counter((x.mention_uid, x.post_person_nbr) for x in found.collect())
+    assert got == Counter({(i, j): 1 for i in range(60) for j in range(40)}) + Counter({(300, 200): 2, (300, 201): 1})
+    sizes = [x["count"] for x in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 0.6 * sum(sizes)  # two names, but no task has most of their pairs
