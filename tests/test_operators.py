@@ -141,6 +141,35 @@ def test_resolution(spark):
     assert rows(linkage.link_prf(linkage.resolve(m, r, common, F.lit("2020-01-01").cast("date")), gold))[0][:3] == (1, 0, 1)
 
 
+def test_alike_mentions_and_registry_rows_are_resolved_as_one(spark):
+    rng = random.Random(8)
+    name = lambda: (rng.choice(["ann", "Ann", "anna", "bo", ""]), rng.choice(["lee", "leo", "Lee", None]))
+    mentions = [(f"m{k}", f, None, l, None, rng.choice(["CA", "NY"]), 2015, "POLICE", rng.choice(["City PD", "Other PD"]), None) for k in range(150) for f, l in [name()]] + [("m3", "bo", None, "lee", None, "CA", 2015, "POLICE", "City PD", None)]
+    stints = [stint(str(rng.randrange(40)), *name(), rng.choice(["City PD", "Town PD"]), start=rng.choice([1990, 2010]), end=rng.choice([2000, None])) for _ in range(60)] + [stint("90", "cy", "poe"), stint("91", "cy", "poe"), stint("90", "cy", "poe", "Town PD")]
+    mentions += [("x", "cy", None, "poe", None, "TX", 2015, "POLICE", "City PD", None), ("y", "cy", None, "poe", None, "TX", 2015, "POLICE", "City PD", None)]
+    m, r = spark.createDataFrame(mentions, MENTION), spark.createDataFrame(stints, STINT)
+    day, none = F.lit("2020-01-01").cast("date"), spark.createDataFrame([], "last_name string")
+    every = linkage.name_score(linkage.candidates(m, r.withColumnRenamed("state", "post_state"), day))
+    good = every.where("match_probability > 0.5").where(linkage.exact_name())
+    n_all, n_good = ({x.mention_uid: x["count"] for x in df.groupBy("mention_uid").count().collect()} for df in (every, good))
+    persons = {x.mention_uid: x.n for x in good.groupBy("mention_uid").agg(F.count_distinct("post_person_nbr").alias("n")).collect()}
+    joined = m.join(r.select(F.col("state").alias("s"), "post_first_name", "post_last_name", "post_person_nbr"), linkage.exact_name() & (F.col("state") == F.col("s")))
+    same = {x.mention_uid: x.n for x in joined.groupBy("mention_uid").agg(F.count_distinct("post_person_nbr").alias("n")).collect()}
+    likeliest = {x.mention_uid: x.post_person_nbr for x in linkage.best_rows(good).collect()}
+    got = {x.mention_uid: x for x in linkage.resolve(m, r, none, day).collect()}
+    assert set(got) == {x[0] for x in mentions} and persons["x"] == 2
+    for uid, x in got.items():
+        found = {g["name"]: g["detail"] for g in x.gates}
+        if "Exact-name match" in found:
+            assert [found[k] for k in ("Candidates found", "Exact-name match", "Not ambiguous")] == [str(c.get(uid, 0)) for c in (n_all, n_good, persons)]
+        assert x.post_person_nbr is None or x.post_person_nbr == likeliest[uid]
+    counted = {x.mention_uid: x.same_name for x in linkage.same_name_persons(m.where("mention_first_name <> '' AND mention_last_name IS NOT NULL"), r).collect()}
+    assert all(n == same.get(uid, 0) for uid, n in counted.items()) and len({x.ambiguous for x in got.values()}) == 2
+    # Mentions that are alike are compared once: as many rows of kinds as for one of them.
+    once = lambda ms: linkage._candidate_kinds(linkage._stand_ins(ms), linkage._kinds(r.withColumnRenamed("state", "post_state"))[0], r, day).count()
+    assert once(m.where("mention_uid IN ('x', 'y')")) == once(m.where("mention_uid = 'x'")) == 2
+
+
 def test_case_records(spark):
     c = spark.createDataFrame([("Case 1",), ("case2",)], "k string")
     d = spark.createDataFrame([("CASE1", 2, "b", None), ("case 1", 1, "a", "t"), ("case1", 3, None, "u")], "k string, o int, s string, t string")
