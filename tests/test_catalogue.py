@@ -170,3 +170,23 @@ def test_frequent_names_are_dealt_to_blocks(spark, monkeypatch):
     assert got == Counter({(i, j): 1 for i in range(60) for j in range(40)}) + Counter({(300, 200): 2, (300, 201): 1})
     sizes = [x["count"] for x in found.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 0.6 * sum(sizes)  # two names, but no task has most of their pairs
+
+
+def test_names_are_compared_once_and_parts_meet_in_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(linkage, "NAME_BLOCK", 8)
+    names = ["red ring", "Red Ring", "red rim", "blue", None]
+    parts = [(i, names[i % 5], "B1", i % 2) for i in range(60)] + [(60, "red ring", None, 1), (61, "red ring", "B2", 1)]
+    d = tables(spark, tmp_path, part=(parts, "p_partkey long, p_name string, p_brand string, p_size int"))
+    want = {(a, b): (x, y) for a, x, p, q in parts for b, y, u, v in parts if a < b and p == u == "B1" and q == v}
+    asked = spark.sparkContext.accumulator(0)
+
+    def measure(x):
+        asked.add(x.count())
+        return x.withColumn("similarity", F.struct("n", "m"))
+
+    got = [((r.a, r.b), tuple(r.similarity)) for r in catalogue._name_pairs(spark, d, measure).collect()]
+    low = lambda x: x and x.lower()
+    assert len(got) == len(want) and dict(got) == {k: (low(x), low(y)) for k, (x, y) in want.items()}
+    assert asked.value == 16  # four names, each with each: pairs of names, not of parts
+    a, b = next((k for k, v in want.items() if v == ("red ring", "red rim")))
+    assert {(r.a, r.b): r.similarity for r in catalogue.levenshtein_sim(spark, d).collect()}[a, b] == 0.75
