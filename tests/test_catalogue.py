@@ -190,3 +190,11 @@ def test_names_are_compared_once_and_parts_meet_in_blocks(spark, tmp_path, monke
     assert asked.value == 16  # four names, each with each: pairs of names, not of parts
     a, b = next((k for k, v in want.items() if v == ("red ring", "red rim")))
     assert {(r.a, r.b): r.similarity for r in catalogue.levenshtein_sim(spark, d).collect()}[a, b] == 0.75
+
+
+def test_pairs_by_days_alone_take_no_features(spark, monkeypatch):
+    monkeypatch.setattr(legacy, "weight", lambda: F.lit(0.0))
+    days = [("Ann Lee", "2020-01-01"), (None, "2020-01-20"), (None, "2020-02-25"), (None, "2020-05-01"), (None, None)]
+    docs = spark.createDataFrame([(k, "s.pdf", "p", name, day, None) for k, (name, day) in enumerate(days)], "id long, document_name string, gdrive_path string, name string, date string, case_numbers string")
+    got = [(r.src, r.dst, r.weight) for r in legacy.edges(docs).collect()]
+    assert sorted(got) == [(0, 1, 1.0), (0, 2, 0.7), (1, 2, 0.7)]
