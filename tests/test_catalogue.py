@@ -192,6 +192,13 @@ def test_names_are_compared_once_and_parts_meet_in_blocks(spark, tmp_path, monke
     assert {(r.a, r.b): r.similarity for r in catalogue.levenshtein_sim(spark, d).collect()}[a, b] == 0.75
 
 
+def test_names_meet_whatever_their_brand_and_size(spark, tmp_path):
+    parts = [(1, "red ring", "B1", 1), (2, "Red Ring", "B2", 1), (3, "red rim", "B1", 2), (4, None, "B3", 3), (5, "red rim", None, None)]
+    d = tables(spark, tmp_path, part=(parts, "p_partkey long, p_name string, p_brand string, p_size int"))
+    got = {(r.a, r.b): r.similarity for r in catalogue.levenshtein_sim_whole(spark, d).collect()}
+    assert got == {(1, 2): 1.0, (3, 5): 1.0, (1, 3): 0.75, (1, 4): 1.0, (3, 4): 1.0}
+
+
 def test_pairs_by_days_alone_take_no_features(spark, monkeypatch):
     monkeypatch.setattr(legacy, "weight", lambda: F.lit(0.0))
     days = [("Ann Lee", "2020-01-01"), (None, "2020-01-20"), (None, "2020-02-25"), (None, "2020-05-01"), (None, None)]
