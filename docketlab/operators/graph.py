@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -146,26 +145,47 @@ def grow_members(ids: list, links: dict, threshold: float = 0.5) -> list[set]:
 def split_components(members: DataFrame, edges: DataFrame, keys: DataFrame | None = None, threshold: float = 0.3, grow: bool = False) -> DataFrame:
     """``id, cluster``: components that are dense enough as they are, the others split; the cluster is its least id.
 
-    Only invalid components are gathered, each as the edges inside it.
+    Only invalid components are gathered, each as the edges inside it. They are dealt to tasks by number and come one
+    after another in each, so the cost is that of their edges and not one of starting work on each component.
     """
     bad = written(density(members, edges, threshold).where("NOT valid").select("component"), "invalid")
     fine = members.join(bad, "component", "left_anti").select("id", F.col("component").alias("cluster"))
     loose = members.join(bad, "component", "left_semi")
-    near = both_ways(edges).groupBy("src").agg(F.collect_set("dst").alias("near"))
+    near = both_ways(edges).join(loose.select(F.col("id").alias("src")), "src", "left_semi").groupBy("src").agg(F.collect_set("dst").alias("near"))
     loose = loose.join(near, loose["id"] == near["src"], "left").drop("src")
     if keys is None:
         loose = loose.withColumn("keys", F.array().cast("array<string>"))
     else:
         loose = loose.join(keys.select("id", "keys"), "id", "left")
 
-    def part(pdf: pd.DataFrame) -> pd.DataFrame:
-        links = {r.id: set(r.near) if r.near is not None else set() for r in pdf.itertuples()}
-        ids = list(links)
-        own = {r.id: list(r.keys) if r.keys is not None else [] for r in pdf.itertuples()}
-        parts = grow_members(ids, links, threshold) if grow else split_members(ids, links, own, threshold)
-        return pd.DataFrame([(v, min(p)) for p in parts for v in p], columns=["id", "cluster"])
-
-    return fine.unionByName(loose.select("component", "id", "near", "keys").groupBy("component").applyInPandas(part, "id long, cluster long"))
+    def parts_of(rows: list) -> list[tuple]:
+        links = {v: set(near) if near is not None else set() for _, v, near, _ in rows}
+        own = {v: own if own is not None else [] for _, v, _, own in rows}
+        parts = grow_members(list(links), links, threshold) if grow else split_members(list(links), links, own, threshold)
+        return [(v, least) for p in parts for least in (min(p),) for v in p]
+
+    def split(batches):
+        """Task: rows come component by component; one that a batch breaks off goes on in the next."""
+        held: list = []
+        for b in batches:
+            done = []
+            for row in zip(*(b.column(k).to_pylist() for k in range(4))):
+                if held and held[-1][0] != row[0]:
+                    done += parts_of(held)
+                    held = []
+                held.append(row)
+            if done:
+                yield _pairs(done)
+        if held:
+            yield _pairs(parts_of(held))
+
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = loose.select(F.col("component").cast("long"), F.col("id").cast("long"), F.col("near").cast("array<long>"), "keys").repartition(tasks, "component").sortWithinPartitions("component")
+    return fine.unionByName(dealt.mapInArrow(split, "id long, cluster long"))
+
+
+def _pairs(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], ["id", "cluster"])
 
 
 def star_edges(rows: DataFrame, key, id_col: str = "id") -> DataFrame:
