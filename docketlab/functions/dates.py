@@ -57,8 +57,12 @@ def iso_date(c) -> Column:
 
 def least_gap(a, b) -> Column:
     """Least difference in days between two arrays of ISO strings; -1 if either is empty."""
-    gaps = F.flatten(F.transform(_col(a), lambda x: F.transform(_col(b), lambda y: F.abs(F.datediff(x.cast("date"), y.cast("date"))))))
-    return F.coalesce(F.array_min(gaps), F.lit(-1))
+    return F.coalesce(days_gap(F.transform(_col(a), lambda x: x.cast("date")), F.transform(_col(b), lambda x: x.cast("date"))), F.lit(-1))
+
+
+def days_gap(a, b) -> Column:
+    """Least difference in days between two arrays of dates; null if either is empty."""
+    return F.array_min(F.flatten(F.transform(_col(a), lambda x: F.transform(_col(b), lambda y: F.abs(F.datediff(x, y))))))
 
 
 def within_days(a, b, days: int = 365, required: bool = False) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.dates import within_days
 from ..functions.similarity import unit
-from ..functions.text import render
+from ..functions.text import _directories, render
 from ..plans import completions
 from ..plans.scratch import written
 from . import graph
@@ -45,37 +45,59 @@ def _directory(c: str) -> Column:
     return F.regexp_extract(F.coalesce(c, F.lit("")), "^(.*)/[^/]*$", 1)
 
 
+def _deep(c: str) -> Column:
+    """The directory if it is at least four levels deep, else null."""
+    return F.when((F.size(F.split(c, "/")) > 4) & (_directory(c) != ""), _directory(c))
+
+
+def _key(net: int, k: Column, of: Column | str = "") -> Column:
+    return F.struct(F.lit(net).alias("net"), k.alias("k"), (F.lit(of) if isinstance(of, str) else of).alias("of"))
+
+
+def _keys(net: int, first: str, second: str | None = None) -> Column:
+    """Keys of a document under a net: each value of the array, or each value of the first with each of the second."""
+    one = F.array_distinct(first)
+    if second is None:
+        return F.transform(one, lambda x: _key(net, x))
+    return F.flatten(F.transform(one, lambda x: F.transform(F.array_distinct(second), lambda y: _key(net, x, y))))
+
+
 def candidate_pairs(docs: DataFrame, rules: Rules) -> DataFrame:
     """Every pair that some rule may match, once. Documents have ``id, path`` and the sets ``t1_*`` and ``t2_*``.
 
-    A pair that shares no key of a rule matches by none, so all pairs need not be made.
+    A pair that shares no key of a rule matches by none, so all pairs need not be made. The keys of all rules meet in
+    one equi-join, so documents are read and dealt by key once.
     """
     nets = []
     if 1 in rules.tiers:
         if rules.on("t1_case_id") and "case_ids" not in rules.without:
-            nets.append(_shared(docs, "t1_case_ids"))
+            nets.append(_keys(1, "t1_case_ids"))
         if rules.on("t1_exact_dir"):
-            nets.append(_shared(docs.withColumn("dir", F.array(_directory("path"))).where(F.size(F.split(_directory("path"), "/")) > 3), "dir"))
+            nets.append(F.array(_key(2, _deep("path"))))
         if rules.on("t1_name_date"):
-            nets.append(_shared(docs, "t1_names", "t1_dates"))
+            nets.append(_keys(3, "t1_names", "t1_dates"))
     if 2 in rules.tiers:
         if rules.on("t2_case_id"):
-            nets.append(_shared(docs, "t2_case_ids"))
+            nets.append(_keys(4, "t2_case_ids"))
         if rules.on("t2_subject"):
-            nets.append(_shared(docs, "t2_subjects", "t2_dates"))
+            nets.append(_keys(5, "t2_subjects", "t2_dates"))
         if rules.on("t2_date_officer"):
-            nets.append(_shared(docs, "t2_officers", "t2_dates"))
+            nets.append(_keys(6, "t2_officers", "t2_dates"))
     if not nets:
         return docs.select(F.col("id").alias("a"), F.col("id").alias("b")).where(F.lit(False))
-    out = nets[0]
-    for n in nets[1:]:
-        out = out.unionByName(n)
-    return out.distinct()
+    none = F.array().cast("array<struct<net:int,k:string,of:string>>")
+    rows = docs.select("id", F.inline(F.flatten(F.array(*[F.coalesce(n, none) for n in nets])))).where("k IS NOT NULL AND of IS NOT NULL")
+    rows = rows.withColumn("h", F.xxhash64("net", "k", "of"))  # numbers are sorted faster than texts that begin alike
+    pairs = rows.withColumnRenamed("id", "a").join(rows.withColumnRenamed("id", "b"), ["h", "net", "k", "of"]).where("a < b").select("a", "b")
+    return pairs.repartition("a").distinct()  # the features of a are joined next
 
 
 def _features(docs: DataFrame, side: str) -> DataFrame:
+    """Columns of one side of a pair; what depends on one document alone is made here, once and not for each pair."""
     cols = ["path", "t1_case_ids", "t1_dates", "t1_names", "t2_case_ids", "t2_dates", "t2_subjects", "t2_officers"]
-    return docs.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in cols])
+    dates = lambda c: F.transform(c, lambda x: x.cast("date"))
+    made = {"directory": _deep("path"), "directories": _directories("path"), "t1_days": dates("t1_dates"), "t2_days": dates("t2_dates")}
+    return docs.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in cols], *[v.alias(f"{side}_{k}") for k, v in made.items()])
 
 
 def pair_features(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -83,7 +105,7 @@ def pair_features(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     both = pairs.join(_features(docs, "a"), "a").join(_features(docs, "b"), "b")
     out = both.withColumns({f"n_{c}": F.size(F.array_intersect(f"a_{c}", f"b_{c}")) for c in ("t1_case_ids", "t1_dates", "t1_names", "t2_case_ids", "t2_dates", "t2_subjects", "t2_officers")})
     return out.withColumns({
-        "same_dir": (_directory("a_path") == _directory("b_path")) & (F.size(F.split(_directory("a_path"), "/")) > 3),
+        "same_dir": F.coalesce(F.col("a_directory") == F.col("b_directory"), F.lit(False)),
         "both_ids": (F.size("a_t1_case_ids") > 0) & (F.size("b_t1_case_ids") > 0),
         "long_name": F.exists(F.array_intersect("a_t1_names", "b_t1_names"), lambda x: F.contains(x, F.lit(" ")) | (F.length(x) >= 8)),
     })
@@ -116,9 +138,8 @@ def tier2(rules: Rules) -> Column:
 
 def shares_directories(n: int = 2) -> Column:
     """Whether two paths have their first directories in common; a missing path is no bar."""
-    from ..functions.text import shared_depth
-
-    return F.col("a_path").isNull() | F.col("b_path").isNull() | (shared_depth("a_path", "b_path") >= n)
+    begin = lambda s: F.slice(f"{s}_directories", 1, n)
+    return F.col("a_path").isNull() | F.col("b_path").isNull() | ((F.size("a_directories") >= n) & (begin("a") == begin("b")))
 
 
 def no_match():
@@ -164,8 +185,10 @@ def match_edges(docs: DataFrame, rules: Rules = Rules(), summaries: DataFrame |
     if third:
         rows = written(rows, "tiers")
     hit = ~F.col("one").isin("maybe", "block")
-    found = rows.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.when(hit, 1).when((F.col("one") == "maybe") & F.col("two").isNotNull(), 2).alias("tier"), F.when(hit, F.col("one")).otherwise(F.col("two")).alias("match_type"))
-    found = found.where(F.col("tier").isNotNull())
+    # The number keeps the filter above the rules, which it would repeat for each use of their results.
+    once = rows.withColumn("__nr", F.monotonically_increasing_id())
+    found = once.select("__nr", F.col("a").alias("src"), F.col("b").alias("dst"), F.when(hit, 1).when((F.col("one") == "maybe") & F.col("two").isNotNull(), 2).alias("tier"), F.when(hit, F.col("one")).otherwise(F.col("two")).alias("match_type"))
+    found = found.where(F.col("tier").isNotNull() & (F.col("__nr") >= 0)).drop("__nr")
     if not third:
         return found
     left = rows.where((F.col("one") == "maybe") & F.col("two").isNull() & F.col("gate")).select("a", "b")

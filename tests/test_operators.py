@@ -306,3 +306,31 @@ def test_persons_and_pair_features(spark):
     assert (f.tier1_min_date_diff_days, f.tier2_min_date_diff_days, f.combined_min_date_diff_days) == (30, None, 30)
     assert f.exact_dir_match and f.shared_3plus_dirs and f.tier1_has_full_name_match and not f.tier1_name_and_date
     assert "any_date_match" not in legacy.tier_features(["tier1_x", "any_date_match", "tier2_y"], (1,))
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_keys_of_all_rules_meet_in_one_join(spark):
+    same = dict(path="a/b/c/d/1", ids=["X"], names=["ann lee"], dates=["2020-01-01"], ids2=["Y"], dates2=["2020-01-01"], subjects=["s"], officers=["o"])
+    only = [dict(ids=["X"]), dict(path="a/b/c/d/2"), dict(names=["ann lee"], dates=["2020-01-01", None]), dict(ids2=["Y", "Y"]), dict(subjects=["s"], dates2=["2020-01-01"]), dict(officers=["o"], dates2=["2020-01-01"]), dict(path="a/b/c/1"), dict(path="a/b/c/2", names=["ann lee"])]
+    docs = spark.createDataFrame([features(1, **same), *[features(k, **x) for k, x in enumerate(only, 2)], (10, None, None, *[[]] * 6)], DOCS)
+    pairs = clustering.candidate_pairs(docs, clustering.Rules())
+    assert rows(pairs) == [(1, k) for k in range(2, 8)]
+    assert plan(pairs).count("Join Inner") == 1
+
+
+def test_split_takes_components_that_batches_break(spark):
+    links = [(10 * k + i, 10 * k + i + 1) for k in range(8) for i in range(5)]
+    e = spark.createDataFrame(links, "src long, dst long")
+    m = spark.createDataFrame([(10 * k + i, 10 * k) for k in range(8) for i in range(6)] + [(100, 100)], "id long, component long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        split = graph.split_components(m, e)
+        got = {r.id: r.cluster for r in split.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {min(p): p for k in range(8) for p in graph.split_members(list(range(10 * k, 10 * k + 6)), {v: {w for x in links for w in x if v in x and w != v} for v in range(10 * k, 10 * k + 6)}, {}, 0.3)}
+    assert got == {v: c for c, p in want.items() for v in p} | {100: 100}
+    assert "FlatMapGroups" not in plan(split)  # no call for each component
