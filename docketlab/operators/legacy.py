@@ -115,18 +115,18 @@ def model_features(pairs: DataFrame) -> DataFrame:
     """Features of pairs (from :func:`docketlab.operators.clustering.pair_features`) for a learned model; a missing difference is null."""
     n = lambda c: F.col(f"n_{c}")
     out = {}
-    for tier, ids, days in (("tier1", "t1_case_ids", "t1_dates"), ("tier2", "t2_case_ids", "t2_dates")):
-        gap = F.nullif(D.least_gap(f"a_{days}", f"b_{days}"), F.lit(-1))
+    # Taken by several features each, so they are columns of their own, made once for a pair.
+    shared = F.array_intersect("a_t1_names", "b_t1_names")
+    pairs = pairs.withColumns({"__gap1": D.days_gap("a_t1_days", "b_t1_days"), "__gap2": D.days_gap("a_t2_days", "b_t2_days"), "__shared": shared, "__depth": T.common_depth(F.col("a_directories"), F.col("b_directories"))})
+    pairs = pairs.withColumns({"__full": F.exists("__shared", lambda x: F.contains(x, F.lit(" "))), "__longest": F.coalesce(F.array_max(F.transform("__shared", F.length)), F.lit(0))})
+    for tier, ids, days, gap in (("tier1", "t1_case_ids", "t1_dates", F.col("__gap1")), ("tier2", "t2_case_ids", "t2_dates", F.col("__gap2"))):
         out |= {f"{tier}_has_case_id_match": n(ids) > 0, f"{tier}_num_shared_case_ids": n(ids), f"{tier}_has_exact_date_match": n(days) > 0, f"{tier}_num_shared_dates": n(days), f"{tier}_min_date_diff_days": gap}
         out |= {f"{tier}_dates_within_{k}d": F.coalesce(gap <= k, F.lit(False)) for k in (30, 90, 180, 365)}
-    shared = F.array_intersect("a_t1_names", "b_t1_names")
-    full = F.exists(shared, lambda x: F.contains(x, F.lit(" ")))
-    longest = F.coalesce(F.array_max(F.transform(shared, F.length)), F.lit(0))
-    depth = T.shared_depth("a_path", "b_path")
+    full, longest, depth = F.col("__full"), F.col("__longest"), F.col("__depth")
     out |= {"tier1_has_name_match": n("t1_names") > 0, "tier1_num_shared_names": n("t1_names"), "tier1_max_shared_name_length": longest, "tier1_has_full_name_match": full, "tier1_has_long_name_match": longest >= 8, "tier1_has_substantial_name_match": full | (longest >= 8)}
     out |= {"shared_dir_depth": depth, "shared_2plus_dirs": depth >= 2, "shared_3plus_dirs": depth >= 3, "exact_dir_match": F.col("same_dir")}
     out |= {"tier2_has_subject_match": n("t2_subjects") > 0, "tier2_num_shared_subjects": n("t2_subjects"), "tier2_has_officer_match": n("t2_officers") > 0, "tier2_num_shared_officers": n("t2_officers")}
-    rows = pairs.withColumns(out)
+    rows = pairs.withColumns(out).drop("__gap1", "__gap2", "__shared", "__depth", "__full", "__longest")
     c = F.col
     least = F.least("tier1_min_date_diff_days", "tier2_min_date_diff_days")
     return rows.withColumns({
