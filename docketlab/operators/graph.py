@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -30,45 +31,60 @@ def _small_star(e: DataFrame) -> DataFrame:
     return kept.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def least_reached(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """The least node that each of ``n`` nodes reaches over the edges ``u, v``: roots are hooked to lesser ones, and
+    edges between what is joined already are dropped, until none is left."""
+    root = np.arange(n)
+    while len(u):
+        np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
+        while not np.array_equal(up := root[root], root):
+            root = up
+        u, v = root[u], root[v]
+        apart = u != v
+        u, v = u[apart], v[apart]
+    return root
+
+
 def _forest(batches):
     """Task: of its edges as many as join the same nodes, each from a node to the least one that it reaches here."""
-    root: dict[int, int] = {}
+    none = np.empty(0, np.int64)
+    u, v = (np.concatenate(x) for x in zip((none, none), *([b.column(k).to_numpy() for k in (0, 1)] for b in batches)))
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    root = least_reached(at[: len(u)], at[len(u) :], len(nodes))
+    low = root != np.arange(len(nodes))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[low]), pa.array(nodes[root[low]])], ["u", "v"])
 
-    def find(x: int) -> int:
-        while (up := root.setdefault(x, x)) != x:
-            root[x] = x = root[up]
-        return x
 
-    for b in batches:
-        for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            a, c = find(u), find(v)
-            root[max(a, c)] = min(a, c)
-    tree = [(x, r) for x in list(root) if (r := find(x)) != x]
-    yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in tree], pa.int64()) for k in (0, 1)], ["u", "v"])
+def _settled(forest: DataFrame) -> bool:
+    """Whether each node has one edge at most to a lesser one, which has none: nothing is left to join."""
+    ends = forest.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(forest.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    per = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return per.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
 def star_components(edges: DataFrame, rounds: int = 60, per_task: int = EDGES_PER_TASK) -> DataFrame:
     """``node, root`` for every node of ``edges`` (``u, v``) with an edge to another; the root is its component's least.
 
-    Each round deals the edges evenly to tasks of ``per_task`` edges, each of which leaves a forest of them. If one task
-    is enough, its forest is the result. Else a large star and a small star follow: each is a minimum per node and a
-    join, both on the node, so a node with very many edges is combined map-side and its join can be split; no neighbour
-    list is ever gathered. What a round leaves is written, in as many files as it has tasks. An empty edge table gives
-    an empty result; self-loops are ignored.
+    Each round deals the edges evenly to tasks of ``per_task`` edges, by turns those of near nodes together, as ids
+    given one after another are often linked, and by number; each task leaves a forest of them. If the forests settle
+    all, they are the result. Else a large star and a small star follow: each is a minimum per node and a join, both on
+    the node, so a node with very many edges is combined map-side and its join can be split; no neighbour list is ever
+    gathered. What a round leaves is written, in as many files as it has tasks. An empty edge table gives an empty
+    result; self-loops are ignored.
     """
     pairs = edges.where("u <> v").select(F.greatest("u", "v").cast("long").alias("u"), F.least("u", "v").cast("long").alias("v"))
     now = written(pairs.distinct(), "edges")
-    seen = None
-    for _ in range(rounds):
+    for nr in range(rounds):
         tasks = 1 + now.count() // per_task
-        dealt = now.coalesce(1) if tasks == 1 else now.repartition(tasks, F.xxhash64("u", "v"))
+        if tasks == 1:
+            dealt = now.coalesce(1)
+        else:
+            dealt = now.repartition(tasks, F.xxhash64("u", "v")) if nr % 2 else now.repartitionByRange(tasks, "v", "u")
         forest = written(dealt.mapInArrow(_forest, "u long, v long"), "forest")
         discard(now)
-        mark = tuple(forest.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if tasks == 1 or mark == seen:
+        if tasks == 1 or _settled(forest):
             named = forest.select(F.col("u").alias("node"), F.col("v").alias("root"))
             return named.unionByName(forest.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        seen = mark
         large = written(_large_star(forest).coalesce(tasks), "large")
         discard(forest)
         now = written(_small_star(large).coalesce(tasks), "small")
@@ -87,9 +103,10 @@ def density(members: DataFrame, edges: DataFrame, threshold: float = 0.3) -> Dat
 
     Components of two or one are valid.
     """
-    links = both_ways(edges)
+    # Edges meet their components in one direction and are turned round after that.
+    links = edges.where("src <> dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
     inside = links.join(members.select(F.col("id").alias("src"), "component"), "src").join(members.select(F.col("id").alias("dst"), F.col("component").alias("other")), "dst").where("component = other")
-    degree = inside.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("n"))
+    degree = inside.select(F.explode(F.array("src", "dst")).alias("id")).groupBy("id").agg(F.count("*").alias("n"))
     size = members.groupBy("component").agg(F.count("*").alias("size"))
     share = members.join(degree, "id", "left").join(size, "component").withColumn("share", F.coalesce("n", F.lit(0)) / F.greatest(F.col("size") - 1, F.lit(1)))
     return share.groupBy("component", "size").agg(F.min("share").alias("least")).withColumn("valid", (F.col("size") <= 2) | (F.col("least") >= threshold))

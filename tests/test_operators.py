@@ -2,6 +2,7 @@ import datetime as dt
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -334,3 +335,25 @@ def test_split_takes_components_that_batches_break(spark):
     want = {min(p): p for k in range(8) for p in graph.split_members(list(range(10 * k, 10 * k + 6)), {v: {w for x in links for w in x if v in x and w != v} for v in range(10 * k, 10 * k + 6)}, {}, 0.3)}
     assert got == {v: c for c, p in want.items() for v in p} | {100: 100}
     assert "FlatMapGroups" not in plan(split)  # no call for each component
+
+
+def test_component_rounds_end_when_forests_settle(spark, monkeypatch):
+    written, names = graph.written, []
+    monkeypatch.setattr(graph, "written", lambda df, name: names.append(name) or written(df, name))
+    links = [(10 * k + i, 10 * k + i + 1) for k in range(30) for i in range(5)]
+    got = {r.node: r.root for r in graph.star_components(spark.createDataFrame(links, "u long, v long"), per_task=50).collect()}
+    assert got == {10 * k + i: 10 * k for k in range(30) for i in range(6)}
+    assert names.count("forest") <= 2  # near ids are dealt together, and no round is spent on seeing that nothing changes
+    u, v = np.array([5, 5, 5, 3, 8]), np.array([0, 1, 2, 4, 3])
+    assert graph.least_reached(u, v, 9).tolist() == [0, 0, 0, 3, 3, 0, 6, 7, 3]
+
+
+def test_vectors_are_sent_to_sixteen_blocks_at_most(spark):
+    x = np.random.default_rng(2).normal(size=(200, 3)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(900, None)], "id long, vector array<float>")
+    n = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    found = clustering.cosine_edges(df, 0.8, block=4)  # 50 blocks of 4, or 16 blocks
+    assert {(r.src, r.dst) for r in found.collect()} == {(i, j) for i, j in itertools.combinations(range(200), 2) if n[i] @ n[j] >= 0.8}
+    assert found.count() == len({(r.src, r.dst) for r in found.collect()})
+    sent = clustering._block_pairs(df.where("id < 200").withColumn("grp", F.lit("")), 4)
+    assert sent.count() == 200 * 16 and dict(sent.dtypes)["vector"] == "array<float>"
