@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -9,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.dates import within_days
-from ..functions.similarity import unit
 from ..functions.text import _directories, render
 from ..plans import completions
 from ..plans.scratch import written
@@ -226,29 +226,46 @@ def deterministic_clusters(docs: DataFrame) -> DataFrame:
     return first.join(second, "id", "left").select("id", F.coalesce("again", "component").alias("cluster"))
 
 
-def cosine_edges(vectors: DataFrame, threshold: float, group: str | None = None, block: int = 2048) -> DataFrame:
-    """``src, dst, similarity`` of vectors (``id, vector``) at that cosine or more, within each group.
+#: Blocks that a group is dealt to, which is how often each vector is sent, until blocks would have more vectors than the second.
+BLOCKS, LARGEST_BLOCK = 16, 65_536
 
-    Vectors are brought to length one, dealt to numbered blocks, and each pair of blocks is one matrix product.
-    """
-    rows = vectors.select("id", F.col(group).cast("string").alias("grp") if group else F.lit("").alias("grp"), unit("vector").alias("vector"))
-    nr = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    sizes = rows.groupBy("grp").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    dealt = rows.join(sizes, "grp").withColumn("nr", nr)
+
+def _block_pairs(rows: DataFrame, block: int) -> DataFrame:
+    """Rows (``grp, id, vector``) once for each block of their group, with the pair ``p, q`` of blocks that meet there."""
+    blocks = lambda n: F.ceil(F.count("*") / n)
+    sizes = rows.groupBy("grp").agg(F.greatest(F.least(blocks(block), F.lit(BLOCKS)), blocks(LARGEST_BLOCK)).cast("int").alias("blocks"))
+    dealt = rows.join(sizes, "grp").withColumn("nr", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     # Each vector meets each block of its group once: as many copies as there are blocks, not as vectors.
-    tasks = dealt.withColumn("with", other).select("grp", F.least("nr", "with").alias("p"), F.greatest("nr", "with").alias("q"), "nr", "id", "vector")
+    return dealt.withColumn("with", other).select("grp", F.least("nr", "with").alias("p"), F.greatest("nr", "with").alias("q"), "nr", "id", "vector")
+
 
-    def multiply(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        ids, nrs = table["id"].to_numpy(), table["nr"].to_numpy()
-        x = np.array(table["vector"].to_pylist(), dtype=np.float64).reshape(len(ids), -1)
+def cosine_edges(vectors: DataFrame, threshold: float, group: str | None = None, block: int = 2048) -> DataFrame:
+    """``src, dst, similarity`` of vectors (``id, vector``) at that cosine or more, within each group.
+
+    Vectors are dealt to numbered blocks of ``block`` or more, and each pair of blocks is a task's work, done as products
+    of tiles of ``block`` vectors. A group has 16 blocks at most, larger ones as it grows, so what is sent grows as the
+    input does; they are sent as they are and brought to length one where they meet. A missing vector has no edges.
+    """
+    rows = vectors.where(F.col("vector").isNotNull()).select("id", F.col(group).cast("string").alias("grp") if group else F.lit("").alias("grp"), "vector")
+    tasks = _block_pairs(rows, block)
+
+    def multiply(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [(b["id"].to_numpy(), b["nr"].to_numpy(), b["vector"].flatten().to_numpy(zero_copy_only=False)) for b in batches]
+        ids, nrs, flat = (np.concatenate(x) for x in zip(*got))
+        x = flat.astype(np.float64).reshape(len(ids), -1)
+        length = np.sqrt((x * x).sum(axis=1, keepdims=True))
+        np.divide(x, length, out=x, where=length > 0)
         p, q = key[1].as_py(), key[2].as_py()
-        left, right = nrs == p, nrs == q
-        score = x[left] @ x[right].T
-        i, j = np.nonzero(score >= threshold)
-        a, b, s = ids[left][i], ids[right][j], score[i, j]
-        keep = a < b if p == q else a != b
-        return pa.table({"src": np.minimum(a, b)[keep], "dst": np.maximum(a, b)[keep], "similarity": s[keep]})
+        left, right = np.flatnonzero(nrs == p), np.flatnonzero(nrs == q)
+        for m in range(0, len(left), block):
+            for n in range(m if p == q else 0, len(right), block):
+                one, two = left[m : m + block], right[n : n + block]
+                score = x[one] @ x[two].T
+                i, j = np.nonzero(score >= threshold)
+                a, b, s = ids[one[i]], ids[two[j]], score[i, j]
+                keep = a < b if p == q and m == n else a != b
+                yield pa.RecordBatch.from_pydict({"src": np.minimum(a, b)[keep], "dst": np.maximum(a, b)[keep], "similarity": s[keep]})
 
     return tasks.groupBy("grp", "p", "q").applyInArrow(multiply, "src long, dst long, similarity double")
 
