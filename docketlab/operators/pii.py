@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.similarity import luhn_ok
@@ -69,12 +71,11 @@ def has_birth_date(c) -> Column:
     As only a pattern's first match after a label counts, the patterns may not match before the place allowed: a lazy
     gap before each date finds its first place, and the gap is bounded.
     """
-    t, out = _text(c), F.lit(False)
-    for label in BIRTH_LABELS:
-        lazy = label.replace(".*?", "[^\n]*?")
-        after = F.regexp_extract_all(t, F.lit(rf"(?is){lazy}(?=(.{{0,{WINDOW}}}))"), F.lit(1))
-        for date in BIRTH_DATES:
-            out = out | F.exists(after, _follows(rf"(?is)^((?:(?!{date}).){{0,{LATEST}}}){date}"))
+    t, lazy = _text(c), [label.replace(".*?", "[^\n]*?") for label in BIRTH_LABELS]
+    after = F.concat(*[F.regexp_extract_all(t, F.lit(rf"(?is){label}(?=(.{{0,{WINDOW}}}))"), F.lit(1)) for label in lazy])
+    follows = [_follows(rf"(?is)^((?:(?!{date}).){{0,{LATEST}}}){date}") for date in BIRTH_DATES]
+    # Labels are looked for once for all kinds of dates, and a stretch after several of them is tested once.
+    out = F.exists(F.array_distinct(after), lambda x: reduce(lambda a, b: a | b, [f(x) for f in follows]))
     return F.when(t.rlike(r"(?i)birth|born|\bd\.?\s*o\.?\s*b"), out).otherwise(False)
 
 

@@ -101,6 +101,12 @@ def test_birth_dates(one):
     assert one(given, pii.has_birth_date) == [True, False, True, False, True, True, True, False, False]
 
 
+def test_birth_labels_are_looked_for_once(spark):
+    df = spark.createDataFrame([("born on 1/2/1985, DOB see file",), ("date of birth: x\nDOB 5 March 1990",), ("Birthday 1/2/1985",)], "t string")
+    assert [r.dob for r in df.select(pii.has_birth_date("t").alias("dob")).collect()] == [True, True, False]
+    assert str(pii.has_birth_date("t")).count("regexp_extract_all") == len(pii.BIRTH_LABELS)
+
+
 def test_row_rules(one):
     assert one(["n/a", "x?", "Case 1", None], cases.assigned) == [False, False, True, False]
     assert one([" 20na ", "na", None], cases.number_part) == [20.0, None, None]
