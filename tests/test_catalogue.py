@@ -199,6 +199,18 @@ def test_names_meet_whatever_their_brand_and_size(spark, tmp_path):
     assert got == {(1, 2): 1.0, (3, 5): 1.0, (1, 3): 0.75, (1, 4): 1.0, (3, 4): 1.0}
 
 
+def test_stint_join_takes_more_tasks_for_more_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(linkage, "ROWS_PER_TASK", 5)
+    day = lambda n: dt.datetime(1995, 1, 1) + dt.timedelta(days=n)
+    orders = [(k, day(k)) for k in range(40)]
+    lines = [(k, k % 3, day(k + 10 * j)) for k in range(40) for j in range(3)]
+    d = tables(spark, tmp_path, orders=(orders, "o_orderkey long, o_orderdate timestamp"), lineitem=(lines, "l_orderkey long, l_suppkey long, l_shipdate timestamp"))
+    found = catalogue.range_stint_join(spark, d)
+    first = {s: min(x for _, t, x in lines if t == s) for s in range(3)}
+    assert sorted(map(tuple, found.collect())) == [(k, k % 3) for k, x in orders if first[k % 3] <= x]
+    assert found.rdd.getNumPartitions() == 24  # 120 lines, 5 a task
+
+
 def test_pairs_by_days_alone_take_no_features(spark, monkeypatch):
     monkeypatch.setattr(legacy, "weight", lambda: F.lit(0.0))
     days = [("Ann Lee", "2020-01-01"), (None, "2020-01-20"), (None, "2020-02-25"), (None, "2020-05-01"), (None, None)]
